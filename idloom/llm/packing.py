@@ -30,8 +30,9 @@ from idloom.plans.storage import materialize
 
 CAPACITY = 4096
 END_ID = 1
-#: Words that a Python worker remembers with their ids.
-CACHE_WORDS = 1_200_000
+#: Chunks and words that a Python worker remembers with their ids. Chunks are quickly put together again.
+CACHE_CHUNKS = 500_000
+CACHE_WORDS = 1_000_000
 #: Counts are kept for each (salt, length); this bounds what the driver reads to SALTS * CAPACITY small rows.
 SALTS = 64
 
@@ -56,6 +57,7 @@ class WordEncoder(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model.tokenize
+        self.known: dict[str, bytes] = {}
         self.normal = self.tokenizer.normalizer.normalize_str
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         # The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on.
@@ -71,8 +73,8 @@ class WordEncoder(dict):
                 low = word.lower() if is_normalized("NFC", word) and "\u03a3" not in word else self.normal(word)
                 letters = low.encode().decode("latin-1").translate(self.letters)
             if low.isalpha():
-                if (ids := self.get(low)) is None:
-                    ids = self[low] = array("I", [x.id for x in self.model(letters)]).tobytes()
+                if (ids := self.known.get(low)) is None:
+                    ids = self.known[low] = array("I", [x.id for x in self.model(letters)]).tobytes()
                 if len(word) < len(chunk):
                     ids += self[chunk[len(word) :]]
                 self[chunk] = ids
@@ -87,8 +89,10 @@ class WordEncoder(dict):
         """The ids of each text."""
         out = []
         for text in texts:
-            if len(self) > CACHE_WORDS:
+            if len(self) > CACHE_CHUNKS:
                 self.clear()
+            if len(self.known) > CACHE_WORDS:
+                self.known.clear()
             if any(x in text for x in self.special) or any(x in text for x in self.odd):
                 out.append(self.whole(text))
             else:
