@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.llm import bpe, packing, simhash
+from idloom.llm import bpe, packing, secrets, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,6 +27,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secrets.scan(_read(spark, sf_dir, "documents"))
+
+
 def op7_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by byte-level BPE and decoded again."""
     return bpe.round_trips(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -39,6 +44,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_secret_scans": op6_secret_scans,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
