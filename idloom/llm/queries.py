@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.llm import bpe, packing, secrets, simhash
+from idloom.llm import bpe, embeddings, packing, secrets, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -21,6 +21,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.93 or more within their label."""
+    return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     placed = packing.pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -43,10 +48,30 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_secret_scans": op6_secret_scans,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_embedding_near_dedup": """
+        with recursive usable as (
+            select vec_id, label, cast(embedding as double[]) as v from embeddings
+            where label is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+              and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        linked as (
+            select a.vec_id as x, b.vec_id as y from usable a join usable b
+              on a.label = b.label and len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+            where list_cosine_similarity(a.v, b.v) >= 0.93),
+        reach(x, y) as (
+            select x, y from linked
+            union
+            select r.x, l.y from reach r join linked l on r.y = l.x),
+        counted as (select x, count(*) as n from linked group by x),
+        least as (select x, min(y) as m from reach group by x)
+        select e.vec_id, coalesce(c.n, 0) as n_links, least(e.vec_id, coalesce(m.m, e.vec_id)) as component_id,
+               e.vec_id = least(e.vec_id, coalesce(m.m, e.vec_id)) as kept
+        from embeddings e left join counted c on e.vec_id = c.x left join least m on e.vec_id = m.x""",
+}

@@ -36,7 +36,7 @@ CANDIDATE = f"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
 #: Rejects a candidate as not random; beyond this a random string falls once in about a thousand.
 Z_RANDOM = 3.3
 #: Share of neighbours in ordinary text of which one is a digit, capital, small letter or mark and the other another.
-CLASS_CHANGES = 0.15
+CLASS_CHANGES = 0.2
 FALSE_DISCOVERY_RATE = 0.01
 CLASSES = 32
 DEEPEST = 12.0

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idloom.llm.batches import runs
+from idloom.llm.cells import deal
 from idloom.plans.components import connected_components
 from idloom.plans.storage import materialize
 
@@ -144,16 +145,8 @@ def _cells(distinct: DataFrame) -> DataFrame:
         for k in range(BLOCKS)
     ]
     spread = distinct.select("fp", F.explode(F.array(*rotated)).alias("g")).select("fp", "g.block", "g.value")
-    hot = spread.groupBy("block", "value").count().where(F.col("count") > HOT_GROUP)
-    if hot.isEmpty():
-        return spread.select(F.struct("block", "value", F.lit(0).alias("i"), F.lit(0).alias("j")).alias("cell"), "fp")
-    parts = F.ceil(F.coalesce("count", F.lit(1)) / HOT_GROUP).cast("int")
-    salted = spread.join(hot, ["block", "value"], "left").withColumn("parts", parts)
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return salted.select("block", "value", "fp", own.alias("own"), other.alias("other")).select(
-        F.struct("block", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("cell"), "fp"
-    )
+    dealt = deal(spread, ["block", "value"], ["fp"], HOT_GROUP)
+    return dealt.select(F.struct("block", "value", "cell_i", "cell_j").alias("cell"), "fp")
 
 
 def links(distinct: DataFrame, budget: int = 3) -> DataFrame:
