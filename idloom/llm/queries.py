@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.llm import bpe, chat, embeddings, packing, secrets, simhash
+from idloom.llm import bpe, chat, embeddings, packing, quality, secrets, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -56,6 +56,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scans": op6_secret_scans,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 def _escaped(text: str) -> str:
