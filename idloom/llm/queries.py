@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.llm import bpe, chat, embeddings, packing, quality, secrets, simhash
+from idloom.llm import bpe, chat, embeddings, fingerprint, packing, quality, secrets, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -41,6 +41,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of all documents and of their edited texts."""
+    return fingerprint.fingerprints(_read(spark, sf_dir, "documents"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     return secrets.scan(_read(spark, sf_dir, "documents"))
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op6_secret_scans": op6_secret_scans,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
