@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.llm import bpe, chat, embeddings, fingerprint, packing, quality, secrets, simhash
+from idloom.llm import bpe, chat, embeddings, fingerprint, html, packing, quality, secrets, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -61,6 +61,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main texts of all pages."""
+    return html.main_texts(_read(spark, sf_dir, "pages"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scans": op6_secret_scans,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_html_extraction": op9_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
