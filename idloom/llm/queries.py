@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.llm import bpe, chat, embeddings, fingerprint, html, packing, quality, secrets, simhash
+from idloom.llm import bpe, chat, embeddings, fingerprint, html, licenses, packing, quality, secrets, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,6 +46,11 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(_read(spark, sf_dir, "documents"))
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return licenses.scan(_read(spark, sf_dir, "documents"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     return secrets.scan(_read(spark, sf_dir, "documents"))
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_license_scans": op5_license_scans,
     "op6_secret_scans": op6_secret_scans,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
@@ -102,6 +108,34 @@ _CHAT = f"""
            cast({len(chat.BEGIN)} + sum({len(chat.TURN) + len(chat.END) + 2} + length({_escaped("role")}) + length(role) - length(replace(role, chr(10), '')) + length({_escaped("text")})) as bigint) as formatted_chars
     from turns group by conv_id"""
 
+_NAMED = ", ".join(f"({n}, '{name}', '{s}', {len(licenses.shingles(text))})" for n, (name, text) in enumerate(licenses.TEMPLATES.items()) for s in licenses.shingles(text))
+
+_LICENSES = f"""
+    with known(number, name, shingle, size) as (values {_NAMED}),
+    parts as (
+        select row_number() over () as row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[\\p{{L}}\\p{{N}}]+') as words,
+               regexp_split_to_array(coalesce(text, ''), '[\\p{{L}}\\p{{N}}]+') as gaps from documents),
+    one as (select row_id, generate_subscripts(words, 1) as i, unnest(words) as word, unnest(gaps[:len(words)]) as gap from parts),
+    placed as (
+        select row_id, i, lower(word) as word, length(word) as n, sum(length(gap) + length(word)) over (partition by row_id order by i) as stop from one),
+    shingled as (
+        select row_id, i, word || ' ' || lead(word) over w || ' ' || lead(word, 2) over w as shingle from placed window w as (partition by row_id order by i)),
+    hits as (select row_id, i, number, name, s.shingle, size from shingled s join known using (shingle)),
+    places as (
+        select a.row_id, a.number, a.name, a.i as first, max(b.i) + 2 as last from hits a join hits b
+          on a.row_id = b.row_id and a.number = b.number and b.i between a.i and a.i + a.size + cast(ceil(a.size / 4.0) as bigint) - 1
+        group by a.row_id, a.number, a.name, a.i, a.size having count(distinct b.shingle) >= ceil(0.8 * a.size)),
+    fresh as (
+        select *, case when first <= max(last) over (partition by row_id, number order by first rows between unbounded preceding and 1 preceding) then 0 else 1 end as new
+        from places),
+    islands as (select *, sum(new) over (partition by row_id, number order by first rows unbounded preceding) as island from fresh),
+    spans as (select row_id, name, min(first) as first, max(last) as last from islands group by row_id, number, name, island),
+    found as (
+        select s.row_id, s.name, cast(a.stop - a.n as bigint) as began, cast(b.stop as bigint) as upto
+        from spans s join placed a on a.row_id = s.row_id and a.i = s.first join placed b on b.row_id = s.row_id and b.i = s.last),
+    listed as (select row_id, count(*) as n, string_agg(name || ':' || began || ':' || upto, ',' order by began, name) as matches from found group by row_id)
+    select doc_id, coalesce(n, 0) as n_matches, coalesce(matches, '') as matches from parts left join listed using (row_id)"""
+
 ORACLES: dict[str, str] = {
     "op1_embedding_near_dedup": """
         with recursive usable as (
@@ -122,4 +156,5 @@ ORACLES: dict[str, str] = {
                e.vec_id = least(e.vec_id, coalesce(m.m, e.vec_id)) as kept
         from embeddings e left join counted c on e.vec_id = c.x left join least m on e.vec_id = m.x""",
     "op2_chat_formatting": _CHAT,
+    "op5_license_scans": _LICENSES,
 }

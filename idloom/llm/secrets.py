@@ -24,6 +24,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from idloom.llm.expressions import let, literal, places
+
 #: Base patterns, in the order in which spans that start together are listed. For assign, group 2 has 12+ characters.
 ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = "AKIA[A-Z0-9]{14,}"
@@ -77,11 +79,6 @@ def text_moments(alphabet: str) -> tuple[float, float]:
 
 
 
-def _let(name: str, value: str, body: str) -> str:
-    """SQL for ``body`` with ``name`` standing for ``value``."""
-    return f"transform(array({value}), {name} -> {body})[0]"
-
-
 def _pick(value: str, of) -> str:
     whens = " ".join(f"when {value} rlike '^{pattern}$' then {of(letters)}" for letters, pattern in ALPHABETS.values())
     return f"case {whens} end"
@@ -121,8 +118,8 @@ def battery(token: str) -> str:
             "s3": _pick("v", lambda a: f"{text_moments(a)[1]:.12f}D"),
         }.items()
     ):
-        tests = _let(name, value, tests)
-    return _let("v", f"regexp_replace({token}, '=+$', '')", f"if(length(v) < {SHORTEST} or v rlike '^[0-9]*$', null, {_let('a', _pick('v', lambda a: repr(a)), tests)})")
+        tests = let(name, value, tests)
+    return let("v", f"regexp_replace({token}, '=+$', '')", f"if(length(v) < {SHORTEST} or v rlike '^[0-9]*$', null, {let('a', _pick('v', lambda a: repr(a)), tests)})")
 
 
 def _random(test: str) -> str:
@@ -130,31 +127,9 @@ def _random(test: str) -> str:
     return f"(abs({test}.z_uniform) <= {Z_RANDOM} and abs({test}.z_runs) <= {Z_RANDOM} and abs({test}.z_serial) <= {Z_RANDOM})"
 
 
-def _places(pattern: str) -> str:
-    """SQL for the (start, end) of every match of a pattern in ``text``, in code points.
-
-    The lengths of gaps and matches are summed up in blocks of about the square root of their number.
-    """
-    lit = _literal(pattern)
-    gaps = f"transform(split(text, {lit}, -1), g -> length(g))"
-    matches = f"transform(regexp_extract_all(text, {lit}, 0), m -> length(m))"
-    steps = "zip_with(slice(g, 1, size(m)), m, (y, z) -> named_struct('gap', y, 'both', y + z))"
-    sums = "aggregate({0}, 0, (t, y) -> t + y.both)"
-    block = "slice(s, i*b + 1, b)"
-    blocks = f"transform(sequence(0, (size(s) - 1) div b), i -> {sums.format(block)})"
-    inside = f"""flatten(transform(sequence(0, (size(s) - 1) div b), i -> {_let('o', "aggregate(slice(f, 1, i), 0, (t, y) -> t + y)",
-        f"transform({block}, (y, j) -> named_struct('at', o + {sums.format('slice(s, i*b + 1, j)')} + y.gap, 'to', o + {sums.format('slice(s, i*b + 1, j)')} + y.both))")}))"""
-    found = _let("g", gaps, _let("m", matches, _let("s", steps, _let("b", "cast(ceil(sqrt(size(s))) as int)", _let("f", blocks, inside)))))
-    return f"if(text rlike {lit}, {found}, cast(array() as array<struct<at:int,to:int>>))"
-
-
-def _literal(pattern: str) -> str:
-    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _candidates(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_candidates``: array of struct of the token and its place in the order of matches."""
-    lit = _literal(CANDIDATE)
+    lit = literal(CANDIDATE)
     return docs.withColumn("_tests", F.expr(f"if(text rlike {lit}, transform(regexp_extract_all(text, {lit}, 0), t -> {battery('t')}), cast(array() as array<struct<class:int,z_uniform:double,z_runs:double,z_serial:double,z_text:double>>))"))
 
 
@@ -183,12 +158,12 @@ def find(docs: DataFrame, limits: dict[int, float] | None = None) -> DataFrame:
     limits = cutoffs(docs) if limits is None else limits
     cutoff = "case t.class " + " ".join(f"when {k} then {z}D" for k, z in sorted(limits.items())) + " end" if limits else "cast(null as double)"
     kept = "transform({0}, p -> named_struct('start', p.at, 'rank', {1}, 'end', p.to))"
-    assigned = _literal(ASSIGN)
+    assigned = literal(ASSIGN)
     base = f"""concat(
-        transform(filter(zip_with({_places(ASSIGN)}, if(text rlike {assigned}, regexp_extract_all(text, {assigned}, 2), cast(array() as array<string>)), (p, w) -> named_struct('p', p, 'n', length(w))), o -> o.n >= {LEAST_ASSIGNED}),
+        transform(filter(zip_with({places(ASSIGN)}, if(text rlike {assigned}, regexp_extract_all(text, {assigned}, 2), cast(array() as array<string>)), (p, w) -> named_struct('p', p, 'n', length(w))), o -> o.n >= {LEAST_ASSIGNED}),
                   o -> named_struct('start', o.p.at, 'rank', 0, 'end', o.p.to)),
-        {kept.format(_places(ACCESS), 1)}, {kept.format(_places(HEX), 2)})"""
-    accepted = f"filter(zip_with({_places(CANDIDATE)}, _tests, (p, t) -> if(t is not null and {_random('t')} and t.z_text <= {cutoff}, p, null)), p -> p is not null)"
+        {kept.format(places(ACCESS), 1)}, {kept.format(places(HEX), 2)})"""
+    accepted = f"filter(zip_with({places(CANDIDATE)}, _tests, (p, t) -> if(t is not null and {_random('t')} and t.z_text <= {cutoff}, p, null)), p -> p is not null)"
     apart = "filter({0}, p -> not exists(_base, o -> o.start < p.to and p.at < o.end))"
     scanned = docs.withColumn("_text", F.col("text")).withColumn("text", F.coalesce("text", F.lit("")))
     scanned = _candidates(scanned).withColumn("_base", F.expr(base))
@@ -217,7 +192,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         if(size(t) > 0 and element_at(t, -1).end >= s.start,
            concat(slice(t, 1, size(t) - 1), array(named_struct('start', element_at(t, -1).start, 'end', greatest(element_at(t, -1).end, s.end)))),
            concat(t, array(named_struct('start', s.start, 'end', s.end)))))"""
-    cut = f"""{_let('t', merged, f"concat(array_join(transform(t, (s, i) -> concat(substring(text, if(i = 0, 1, t[i-1].end + 1), s.start - if(i = 0, 0, t[i-1].end)), '{mark}')), ''), substring(text, element_at(t, -1).end + 1, length(text)))")}"""
+    cut = f"""{let('t', merged, f"concat(array_join(transform(t, (s, i) -> concat(substring(text, if(i = 0, 1, t[i-1].end + 1), s.start - if(i = 0, 0, t[i-1].end)), '{mark}')), ''), substring(text, element_at(t, -1).end + 1, length(text)))")}"""
     found = find(docs).withColumn("_cut", F.expr(f"if(size(spans) > 0, {cut}, text)"))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("_cut")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
