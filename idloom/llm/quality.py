@@ -61,7 +61,9 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "line_length": size / F.size("_lines"),
         "distinct_lines": F.size(F.array_distinct("_lines")) / F.size("_lines"),
     }
-    return cut.withColumn("_stats", F.struct(*[values[k].cast("double").alias(k) for k in STATISTICS])).drop("_body", "_words", "_lines")
+    # The rules read each statistic many times. A generator's output can't be inlined into them, or into a filter on the score.
+    row = F.struct(*[values[k].cast("double").alias(k) for k in STATISTICS])
+    return cut.withColumn("_stats", F.explode_outer(F.array(row))).drop("_body", "_words", "_lines")
 
 
 #: A condition: place of the statistic, whether it is to exceed the bound, and the bound.
