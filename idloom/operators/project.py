@@ -53,7 +53,9 @@ def project(facts: DataFrame, assigned: DataFrame, policy: Policy = Policy(), id
     key = ["subject_entity", "predicate", "target", "value_text"]
     edge = ids.edge_id(identify, *[F.col(c) for c in key])
     sound = judged.where("projected")
+    typed = [F.min("object_json").alias("object_json")] if "object_json" in facts.columns else []
     gathered = sound.groupBy(*key).agg(
+        *typed,
         F.array_sort(F.collect_set("candidate_fact_id")).alias("source_candidate_fact_ids"),
         F.array_sort(F.collect_set(F.nullif("source_event_id", F.lit("")))).alias("source_event_ids"),
         F.array_sort(F.collect_set(F.nullif("chunk_id", F.lit("")))).alias("chunk_ids"),
@@ -67,6 +69,7 @@ def project(facts: DataFrame, assigned: DataFrame, policy: Policy = Policy(), id
         F.nullif("target", F.lit("")).alias("object_canonical_entity_id"),
         F.when(F.col("target") == "", F.col("object_value")).alias("object_value"),
         "source_candidate_fact_ids", "source_event_ids", "chunk_ids", "confidence", "contributing_fact_count", "confidence_mean",
+        *([F.when(F.col("target") == "", F.col("object_json")).alias("object_value_json")] if typed else []),
     )
     if identify is ids.native:
         named = judged.withColumn("canonical_edge_id", F.when(F.col("projected"), edge))
