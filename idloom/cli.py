@@ -57,7 +57,7 @@ def _score(spark: SparkSession, output_dir: str, labels: str) -> int:
     at = output_dir.rstrip("/")
     assigned = jsonl.read(spark, f"{at}/entity_assignments.jsonl", acceptance._SCHEMAS["entity_assignments.jsonl"])
     written = jsonl.read(spark, f"{at}/possible_duplicates.jsonl", acceptance._SCHEMAS["possible_duplicates.jsonl"])
-    two = written.select(F.array_distinct("evidence_candidate_entity_ids").alias("e")).where(F.size("e") == 2).select(F.col("e")[0].alias("left"), F.col("e")[1].alias("right"))
+    two = written.select(F.array_distinct("evidence_candidate_entity_ids").alias("e")).where(F.size("e") == 2).select(F.get("e", F.lit(0)).alias("left"), F.get("e", F.lit(1)).alias("right"))
     asked = jsonl.read(spark, labels, jsonl.SCHEMAS["public_labeled_pairs.jsonl"]).select(F.col("left_candidate_entity_id").alias("left"), F.col("right_candidate_entity_id").alias("right"), "label")
     scores = runs.identity_quality(asked, assigned, two, labels)
     _show(scores)

@@ -177,7 +177,7 @@ def run(spark: SparkSession, settings: Settings, labels: str | None = None) -> d
             document = build_report(settings, inputs, lazy, projected, plan, rows, written, violations, stages)
             if labels and os.path.isfile(labels):
                 asked = jsonl.read(spark, labels, jsonl.SCHEMAS["public_labeled_pairs.jsonl"]).select(F.col("left_candidate_entity_id").alias("left"), F.col("right_candidate_entity_id").alias("right"), "label")
-                two = duplicates.select(F.array_distinct("evidence_candidate_entity_ids").alias("e")).where(F.size("e") == 2).select(F.col("e")[0].alias("left"), F.col("e")[1].alias("right"))
+                two = duplicates.select(F.array_distinct("evidence_candidate_entity_ids").alias("e")).where(F.size("e") == 2).select(F.get("e", F.lit(0)).alias("left"), F.get("e", F.lit(1)).alias("right"))
                 document["identity_quality"] = identity_quality(asked, lazy.assignments, two, labels)
             jsonl.write_json(os.path.join(staging, "quality_report.json"), document)
         jsonl.publish(staging, settings.output_dir, [*counts, "quality_report.json"])
