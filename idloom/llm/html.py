@@ -5,8 +5,9 @@ styles and reader comments go by their element names, roles and class or id word
 recurrence: the subtree of each element that is left is hashed (names, classes and text), Spark counts the pages of a
 host with each hash, and subtrees on at least ``LEAST_PAGES`` pages and ``SHARE`` of the host's pages are deleted.
 Where a page has an article element (or main), its text is the article's, and only containers inside it are matched
-so: a paragraph, heading or list item that many articles share is text, not template. Elsewhere all elements of the
-body are. A page that would be left with nothing keeps its text.
+so: a paragraph, heading, list or table that many articles share is text, not template. Elsewhere all elements of the
+body are. Pages with equal text count once, so that copies of an article are no template of their host. A page that
+would be left with nothing keeps its text.
 
 The counts are aggregated map-side, so a host with a third of all pages is no hot key. A host has at most (its mean
 number of subtrees on a page) / SHARE recurring hashes; they are joined to its pages by broadcast only if there are at
@@ -41,7 +42,9 @@ BLOCK = frozenset(
     " h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
 #: Elements whose repetition inside an article is not a template.
-TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre tr td th caption figcaption summary".split())
+TEXTUAL = frozenset(
+    "p h1 h2 h3 h4 h5 h6 hgroup header li ul ol dir dt dd dl blockquote pre tr td th table thead tbody tfoot caption figure figcaption summary details".split()
+)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: An element that opens closes these, if they are open above the nearest other block.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -228,15 +231,20 @@ def site_templates(pages: DataFrame) -> DataFrame:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes = [], []
+            hosts, hashes, texts = [], [], []
             for name, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                own = {h for part in parts(parse(html)) for h in digests(part).values()} if html else set()
+                found = parts(parse(html or ""))
+                own = {h for part in found for h in digests(part).values()}
+                whole = hashlib.blake2b("\n".join(b for part in found for b in blocks(part)).encode(), digest_size=8).digest()
                 hosts += [name] * (len(own) + 1)
                 hashes += [0, *own]  # 0 counts the pages
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
+                texts += [int.from_bytes(whole, "big", signed=True)] * (len(own) + 1)
+            columns = [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(texts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "hash", "page"])
 
-    seen = pages.select(host(F.col("url")).alias("host"), "html").where("host <> ''").mapInArrow(hashed, "host string, hash long")
-    counts, _ = materialize(seen.groupBy("host", "hash").agg(F.count("*").alias("n")).where(f"hash = 0 or n >= {LEAST_PAGES}"), "subtrees")
+    seen = pages.select(host(F.col("url")).alias("host"), "html").where("host <> ''").mapInArrow(hashed, "host string, hash long, page long")
+    distinct = seen.distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
+    counts, _ = materialize(distinct.where(f"hash = 0 or n >= {LEAST_PAGES}"), "subtrees")
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
     recurring = counts.where("hash <> 0").join(total, "host").where(F.col("n") >= F.col("pages") * SHARE)
     return recurring.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("templates"))  # bounded by SHARE

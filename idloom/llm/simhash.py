@@ -190,7 +190,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3) -> DataF
     edges, _ = materialize(links(first.select("fp"), budget), "links")
     least = component_minimum(connected_components(edges, "left", "right"), first)
     named = first.join(least, "fp", "left").select(F.col("fp").alias("fingerprint"), F.coalesce("least", "first").alias("component_id"))
-    return hashed.join(named, "fingerprint").select(
+    # Two written tables: then adaptive execution can split the rows of a fingerprint that very many documents share.
+    known, _ = materialize(named, "fingerprint-components")
+    return hashed.join(known, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
