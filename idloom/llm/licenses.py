@@ -100,21 +100,29 @@ def size_class(size: int) -> int:
 
 
 def _retrieved(templates: dict[str, str]) -> str:
-    """SQL for the numbers of templates that share a band with a window of ``sh``, the shingle hashes of a text."""
+    """SQL for the numbers of templates that share a band with a window of ``sh``, the shingle hashes of a text.
+
+    A band can only agree if the window holds a shingle of some template, so only windows about those are looked at.
+    """
     by_class: dict[int, list[tuple[int, list[int]]]] = {}
     for number, text in enumerate(templates.values()):
         own = [_hash(s) for s in shingles(text)]
         by_class.setdefault(size_class(len(own)), []).append((number, [min(_band(h, b) for h in own) for b in range(BANDS)]))
-    turned = ", ".join(f"{_turned(b)}L" for b in range(BANDS))
     found = []
     for size, members in sorted(by_class.items()):
         step = max(1, size // 8)
-        span = ceil(size / step)
-        blocks = f"transform(sequence(0, (size(v) - 1) div {step}), i -> array_min(slice(v, i*{step} + 1, {step})))"
-        lows = let("v", "transform(sh, h -> xxhash64(h ^ k))", let("y", blocks, f"transform(sequence(0, greatest(0, size(y) - {span})), i -> array_min(slice(y, i + 1, {span})))"))
+        starts = f"array_distinct(flatten(transform(p, i -> transform(sequence(greatest(0, i - {size - 1}) div {step}, i div {step}), j -> j * {step} + 1))))"
+        lows = f"transform(hb, x -> transform(w, s -> array_min(slice(x, s, {size}))))"
         picks = [f"if(exists(zip_with(z, array({', '.join(f'{x}L' for x in own)}), (a, b) -> array_contains(a, b)), o -> o), array({number}), cast(array() as array<int>))" for number, own in members]
-        found.append(let("z", f"transform(array({turned}), k -> {lows})", f"concat({', '.join(picks)})"))
-    return f"concat({', '.join(found)})"
+        found.append(let("w", starts, let("z", lows, f"concat({', '.join(picks)})")))
+    bands = f"transform(array({', '.join(f'{_turned(b)}L' for b in range(BANDS))}), k -> transform(sh, h -> xxhash64(h ^ k)))"
+    hits = let("own", f"array_intersect(sh, array({_known(templates)}))", "filter(sequence(0, size(sh) - 1), i -> array_contains(own, sh[i]))")
+    return let("p", hits, let("hb", bands, f"concat({', '.join(found)})"))
+
+
+def _known(templates: dict[str, str]) -> str:
+    """The hashes of all templates' shingles, listed as SQL."""
+    return ", ".join(f"{h}L" for h in sorted({_hash(s) for t in templates.values() for s in shingles(t)}))
 
 
 def _verified(templates: dict[str, str]) -> str:
@@ -138,13 +146,12 @@ def find(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """``docs`` with ``matches``: array of struct<start, name, end> in order; places are code points, the end exclusive."""
     if any(not shingles(t) for t in templates.values()):
         raise ValueError(f"a template needs {SHINGLE} words")
-    known = ", ".join(f"{h}L" for h in sorted({_hash(s) for t in templates.values() for s in shingles(t)}))
     text = docs.withColumn("_text", F.col("text")).withColumn("text", F.coalesce("text", F.lit("")))
     cut = text.withColumn("_words", F.expr(f"transform(regexp_extract_all(text, {literal(WORD)}, 0), w -> lower(w))"))
     hashes = f"transform(sequence(0, size(_words) - {SHINGLE}), i -> xxhash64({', '.join(f'_words[i+{k}]' for k in range(SHINGLE))}))"
     none = "cast(array() as array<bigint>)"
     hashed = cut.withColumn("_hashes", F.expr(f"if(size(_words) < {SHINGLE}, {none}, {hashes})"))
-    maybe = hashed.withColumn("_hashes", F.expr(f"if(arrays_overlap(_hashes, array({known})), _hashes, {none})"))
+    maybe = hashed.withColumn("_hashes", F.expr(f"if(arrays_overlap(_hashes, array({_known(templates)})), _hashes, {none})"))
     retrieved = maybe.withColumn("_retrieved", F.expr(f"if(size(_hashes) = 0, cast(array() as array<int>), {let('sh', '_hashes', _retrieved(templates))})"))
     kind = "array<struct<name:string,from:int,to:int>>"
     verified = retrieved.withColumn("_matches", F.expr(f"if(size(_retrieved) = 0, cast(array() as {kind}), {_verified(templates)})"))
