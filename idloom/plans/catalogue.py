@@ -6,6 +6,8 @@ texts, so that both engines give the same values; confidences are compared as do
 
 from __future__ import annotations
 
+import dataclasses
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +17,7 @@ from idloom.functions import names
 from idloom.operators import hygiene, invariants, pairs, report
 from idloom.operators.project import Projection, consolidation, project, rejected_by_reason
 from idloom.operators.resolve import GROUP, KEY, Resolution, block_keys, resolution_stats, resolve
+from idloom.plans.storage import materialize
 from idloom.policy import Policy
 from idloom.sources import integrity, tables
 
@@ -46,6 +49,19 @@ class _Package:
     def projection(self) -> Projection:
         return project(self.inputs.facts, self.resolution.assignments, self.policy)
 
+    @functools.cached_property
+    def settled(self) -> Resolution:
+        """The resolution with entities and assignments written out, for queries that read them many times."""
+        result = self.resolution
+        entities, assignments = materialize(result.entities, "entities")[0], materialize(result.assignments, "assignments")[0]
+        return dataclasses.replace(result, entities=entities, assignments=assignments)
+
+    @functools.cached_property
+    def settled_projection(self) -> Projection:
+        """The projection of :attr:`settled`, with its tables written out."""
+        found = project(self.inputs.facts, self.settled.assignments, self.policy)
+        return dataclasses.replace(found, assignments=materialize(found.assignments, "fact-assignments")[0], edges=materialize(found.edges, "edges")[0])
+
 
 def _query(sql: str, policy: Policy = Policy()):
     def register(build: Callable[[_Package], DataFrame]):
@@ -277,7 +293,7 @@ def budget_plan(p: _Package) -> DataFrame:
     array_to_string(list_sort(list_distinct(list(first)))[1:64], ',') as evidence from firsts group by org_id, workspace_id, name_key"""
 )
 def truncated_groups(p: _Package) -> DataFrame:
-    rows = pairs.members(p.resolution)
+    rows = pairs.members(p.settled)
     found = pairs.truncated_groups(rows, pairs.budget_plan(pairs.pair_counts(rows), BUDGET))
     return found.select(*GROUP, "left_canonical_entity_id", "right_canonical_entity_id", "confidence", _text("reason_codes").alias("reason_codes"), _text("evidence_candidate_entity_ids").alias("evidence"))
 
@@ -289,7 +305,7 @@ def truncated_groups(p: _Package) -> DataFrame:
     round((select sum(pairs) from plan where taken) / (select cast(sum(pairs) as double) from plan), 6) as unresolved_pair_coverage, {BUDGET} as budget"""
 )
 def enumeration_stats(p: _Package) -> DataFrame:
-    rows, result = pairs.members(p.resolution), p.resolution
+    rows, result = pairs.members(p.settled), p.settled
     plan = pairs.budget_plan(pairs.pair_counts(rows), BUDGET)
     return pairs.enumeration_stats(rows, plan, result.links, BUDGET).withColumn("budget", F.lit(BUDGET))
 
@@ -306,7 +322,7 @@ def alias_links(p: _Package) -> DataFrame:
     'ALIAS_ASSERTED_UNCORROBORATED' || case when len(evidence) > 2 then ',GROUP_LEVEL_AMBIGUITY' else '' end as reason_codes from said"""
 )
 def alias_questions(p: _Package) -> DataFrame:
-    found = pairs.alias_questions(p.resolution)
+    found = pairs.alias_questions(p.settled)
     return found.select("left_canonical_entity_id", "right_canonical_entity_id", "confidence", _text("evidence_candidate_entity_ids").alias("evidence"), _text("reason_codes").alias("reason_codes"))
 
 
@@ -325,7 +341,7 @@ def alias_questions(p: _Package) -> DataFrame:
     join plan p on a.org_id = p.org_id and a.workspace_id = p.workspace_id and a.name_key = p.name_key where p.taken"""
 )
 def possible_duplicates(p: _Package) -> DataFrame:
-    found = pairs.possible_duplicates(p.resolution, BUDGET)
+    found = pairs.possible_duplicates(p.settled, BUDGET)
     return found.select("left_canonical_entity_id", "right_canonical_entity_id", "confidence", "level", _text("evidence_candidate_entity_ids").alias("evidence"))
 
 
@@ -415,7 +431,7 @@ def consolidation_rate(p: _Package) -> DataFrame:
 
 @_query("select id as canonical_entity_id from ent where id not in (select subject from edges) and id not in (select object from edges where object is not null)")
 def isolated_entities(p: _Package) -> DataFrame:
-    return report.isolated(p.resolution.entities.select("canonical_entity_id"), p.projection.edges)
+    return report.isolated(p.settled.entities.select("canonical_entity_id"), project(p.inputs.facts, p.settled.assignments, p.policy).edges)
 
 
 @_query("select type as entity_type, count(*) as n from ent group by type")
@@ -450,7 +466,7 @@ def size_percentiles(p: _Package) -> DataFrame:
     select metric, numerator, denominator, case when denominator = 0 then 1.0::double else round(numerator / cast(denominator as double), 6) end as rate from m"""
 )
 def coverage_metrics(p: _Package) -> DataFrame:
-    return report.coverage(p.inputs.occurrences, p.inputs.facts, p.resolution, p.projection)
+    return report.coverage(p.inputs.occurrences, p.inputs.facts, p.settled, p.settled_projection)
 
 
 _ENTITY_CHECKS = (
@@ -471,7 +487,7 @@ def _checks(names_: tuple[str, ...], counted: dict[str, str] | None = None) -> s
 
 @_query(_checks(_ENTITY_CHECKS))
 def entity_invariants(p: _Package) -> DataFrame:
-    result = p.resolution
+    result = p.settled
     return invariants.entity_invariants(result.entities, result.assignments, result.keyed)
 
 
@@ -487,14 +503,14 @@ def entity_invariants(p: _Package) -> DataFrame:
 )
 def entity_invariants_global_scope(p: _Package) -> DataFrame:
     """The policy that merges one-token persons everywhere must be found out."""
-    result = p.resolution
+    result = p.settled
     return invariants.entity_invariants(result.entities, result.assignments, result.keyed)
 
 
 @_query(_checks(_EDGE_CHECKS))
 def edge_invariants(p: _Package) -> DataFrame:
-    projection = p.projection
-    return invariants.edge_invariants(projection.edges, projection.assignments, p.resolution.entities)
+    projection = p.settled_projection
+    return invariants.edge_invariants(projection.edges, projection.assignments, p.settled.entities)
 
 
 @_query(
@@ -508,8 +524,8 @@ def edge_invariants(p: _Package) -> DataFrame:
 )
 def edge_invariants_kept_loops(p: _Package) -> DataFrame:
     """The policy that keeps self-loops must be found out."""
-    projection = p.projection
-    return invariants.edge_invariants(projection.edges, projection.assignments, p.resolution.entities)
+    projection = p.settled_projection
+    return invariants.edge_invariants(projection.edges, projection.assignments, p.settled.entities)
 
 
 # Labels: for each name of a scope and type its first two occurrences, as MERGE; of each unresolved group the first members
@@ -537,7 +553,7 @@ _LABELLED = """, spots as (select *, row_number() over (partition by org_id, wor
     round(case when p + r = 0 then 0 else 2 * p * r / (p + r) end, 6) as f1 from d"""
 )
 def pair_scoring(p: _Package) -> DataFrame:
-    result = p.resolution
+    result = p.settled
     rows = pairs.members(result)
     labels = p.spark.sql(f"with {_LABELLED.lstrip(', ').replace(chr(34), '`')} select * from labels".replace(" from occ)", " from {occ})"), occ=result.keyed)
     emitted = pairs.unresolved_pairs(rows, pairs.pair_counts(rows)).select(F.col("left_id").alias("left"), F.col("right_id").alias("right"))
