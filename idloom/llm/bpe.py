@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from idloom.llm.batches import runs
 
 #: Text units and pretokens that a Python worker remembers with their ids. Units are quickly put together again.
-CACHE_UNITS = 400_000
-CACHE_PRETOKENS = 1_000_000
+CACHE_UNITS = 300_000
+CACHE_PRETOKENS = 700_000
 #: White space as the tokenizer's pattern means it.
 SPACE = "\t-\r\x20\x85\xa0  -     　"
 
