@@ -14,6 +14,8 @@ from idloom.plans.storage import materialize
 
 #: Near-duplicates are found on shingles of five words.
 SHINGLE = 5
+#: Jaccard similarity of two documents' shingles from which on they are near-duplicates, besides those within SimHash's bits.
+SIMILARITY = 0.8
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, that of the least doc_id, of each group of near-duplicates."""
-    return simhash.keep_first(docs, SHINGLE)
+    return simhash.keep_first(docs, SHINGLE, similarity=SIMILARITY)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

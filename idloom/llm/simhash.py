@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from idloom.llm.batches import runs
 from idloom.llm.cells import deal
+from idloom.llm.jaccard import similar
 from idloom.plans.components import connected_components
 from idloom.plans.storage import materialize
 
@@ -38,17 +39,27 @@ HOT_GROUP = 20_000
 FRONTIER = 100_000
 
 
-def fingerprint(text: str, shingle: int) -> int:
-    """The unsigned SimHash of one text."""
+def shingle_hashes(text: str, shingle: int) -> bytes:
+    """The hashes of a text's shingles, 8 bytes each, in the text's order."""
     from xxhash import xxh64_digest
 
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return b""
     line = b" ".join(words)
     ends = list(accumulate(map(len, words), lambda a, b: a + b + 1))
     width = min(shingle, len(words))
-    hashes = b"".join([xxh64_digest(line[i:j], SEED) for i, j in zip([0, *(e + 1 for e in ends)], ends[width - 1 :], strict=False)])
+    return b"".join([xxh64_digest(line[i:j], SEED) for i, j in zip([0, *(e + 1 for e in ends)], ends[width - 1 :], strict=False)])
+
+
+def fingerprint(text: str, shingle: int) -> int:
+    """The unsigned SimHash of one text."""
+    return _voted(shingle_hashes(text, shingle))
+
+
+def _voted(hashes: bytes) -> int:
+    if not hashes:
+        return 0
     votes = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
     ones = sum(votes[i : i + 255].sum(axis=0, dtype=np.uint8).astype(np.int64) for i in range(0, len(votes), 255))
     return int.from_bytes(np.packbits(2 * ones > len(votes)).tobytes(), "big")
@@ -65,6 +76,32 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(hashed, "doc_id long, fingerprint long")
 
 
+def shingle_sets(docs: DataFrame, shingle: int, whole: bool = True) -> DataFrame:
+    """doc_id, key, fingerprint, ``hashes`` (the distinct shingles' hashes, ascending, as bytes; null unless ``whole``) and ``set``, their hash."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
+
+        for batch, texts in runs(batches):
+            all_hashes = [shingle_hashes(x, shingle) for x in texts]
+            found = np.array([_voted(x) for x in all_hashes], dtype=np.uint64).view(np.int64)
+            sets = [np.unique(np.frombuffer(x, np.int64)).tobytes() for x in all_hashes]
+            keys = np.array([xxh3_64_intdigest(x) for x in sets], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(found), pa.array(keys), pa.array(sets, pa.binary()) if whole else pa.nulls(len(sets), pa.binary())], names=["doc_id", "key", "fingerprint", "set", "hashes"])
+
+    return docs.select("doc_id", "text", "key").mapInArrow(hashed, "doc_id long, key long, fingerprint long, set long, hashes binary")
+
+
+def similar_links(docs: DataFrame, sets: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(left, right) links among fingerprints whose texts' shingle sets are equal or have that Jaccard similarity."""
+    known, _ = materialize(sets.groupBy("set", F.col("fingerprint").alias("fp")).agg(F.lit(1)).select("set", "fp"), "set-fingerprints")
+    least = known.groupBy("set").agg(F.min("fp").alias("least"))
+    equal = known.join(least, "set").where("fp <> least").select(F.col("least").alias("left"), F.col("fp").alias("right"))
+    found = similar(docs, sets, lambda rows: shingle_sets(rows, shingle), similarity)
+    named = found.join(least.select(F.col("set").alias("a"), F.col("least").alias("left")), "a").join(least.select(F.col("set").alias("b"), F.col("least").alias("right")), "b")
+    return named.where("left <> right").select("left", "right").unionByName(equal)
+
+
 def _merge(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
     """Give linked places the least label of their component; labels are places and point at roots."""
     while True:
@@ -183,11 +220,17 @@ def _ordered(group: np.ndarray, key: np.ndarray) -> np.ndarray:
     return key[np.lexsort((key.view(np.uint64), group))]
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id (least doc_id reachable) of every row of ``docs``."""
-    hashed, _ = materialize(fingerprints(docs, shingle), "fingerprints")
+def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, similarity: float | None = None) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (least doc_id reachable) of every row of ``docs``.
+
+    With a ``similarity``, texts whose shingle sets have at least that Jaccard similarity are linked too, however many
+    bits they differ in: see :mod:`idloom.llm.jaccard`.
+    """
+    keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("key"))
+    hashed, _ = materialize(fingerprints(docs, shingle) if similarity is None else shingle_sets(keyed, shingle, whole=False).drop("hashes"), "fingerprints")
     first = hashed.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first"))
-    edges, _ = materialize(links(first.select("fp"), budget), "links")
+    linked = links(first.select("fp"), budget)
+    edges, _ = materialize(linked if similarity is None else linked.unionByName(similar_links(keyed, hashed, shingle, similarity)), "links")
     least = component_minimum(connected_components(edges, "left", "right"), first)
     named = first.join(least, "fp", "left").select(F.col("fp").alias("fingerprint"), F.coalesce("least", "first").alias("component_id"))
     # Two written tables: then adaptive execution can split the rows of a fingerprint that very many documents share.
@@ -204,12 +247,12 @@ def component_minimum(components: DataFrame, first: DataFrame) -> DataFrame:
     return member.select("fp", "component").join(least, "component").select("fp", "least")
 
 
-def keep_first(docs: DataFrame, shingle: int = 5, budget: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, shingle: int = 5, budget: int = 3, similarity: float | None = None) -> DataFrame:
     """``docs`` with one row, the one of the least doc_id, for each near-duplicate component.
 
     Of repeated rows with that same doc_id one stays. Rows without a doc_id stay: nothing tells them apart.
     """
-    found = near_duplicates(docs.where("doc_id is not null"), shingle, budget)
+    found = near_duplicates(docs.where("doc_id is not null"), shingle, budget, similarity)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
     numbered = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return numbered.select(docs.columns).unionByName(docs.where("doc_id is null"))
