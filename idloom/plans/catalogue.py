@@ -345,6 +345,20 @@ def possible_duplicates(p: _Package) -> DataFrame:
     return found.select("left_canonical_entity_id", "right_canonical_entity_id", "confidence", "level", _text("evidence_candidate_entity_ids").alias("evidence"))
 
 
+@_query(
+    """select l as left_canonical_entity_id, r as right_canonical_entity_id, 0.4::double as confidence, 1 as level, evidence from (
+      select l, r, array_to_string(list_sort(list_distinct(asserters || string_split(a.members, ',')[1:3] || string_split(b.members, ',')[1:3])), ',') as evidence
+      from links join ent a on l = a.id join ent b on r = b.id)
+    union all
+    select least(a.id, b.id), greatest(a.id, b.id), p.confidence, 0, least(a.candidate_entity_id, b.candidate_entity_id) || ',' || greatest(a.candidate_entity_id, b.candidate_entity_id)
+    from mem a join mem b on a.org_id = b.org_id and a.workspace_id = b.workspace_id and a.name_key = b.name_key and a.source_event_id < b.source_event_id
+    join pair_n p on a.org_id = p.org_id and a.workspace_id = p.workspace_id and a.name_key = p.name_key"""
+)
+def possible_duplicates_in_full(p: _Package) -> DataFrame:
+    found = pairs.possible_duplicates(p.settled, None)
+    return found.select("left_canonical_entity_id", "right_canonical_entity_id", "confidence", "level", _text("evidence_candidate_entity_ids").alias("evidence"))
+
+
 _MERGED = f""", strong as (
       select org_id, workspace_id, type, least(a, b) as a, greatest(a, b) as b from (
         select org_id, workspace_id, type, name_key || chr(31) || locality as a, alias || chr(31) || alias_locality as b, source_event_id from alias_pairs)
