@@ -4,13 +4,14 @@ Pages are parsed into element trees. Menus, page headers and footers, sidebars,
 styles and reader comments go by their element names, roles and class or id words. What gives no such hint goes by
 recurrence: the subtree of each element that is left is hashed (names, classes and text), Spark counts the pages of a
 host with each hash, and subtrees on at least ``LEAST_PAGES`` pages and ``SHARE`` of the host's pages are deleted.
-Where a page has an article element (or main), its text is the article's, and only containers inside it are matched
-so: a paragraph, heading, list or table that many articles share is text, not template. Elsewhere all elements of the
+Where a page has an article element (or main), its text is the article's. Inside it containers are matched so; paragraphs,
+lists, tables, headers and figures go only from ``LEAST_PIECES`` unlike pages on, at ``PIECE_SHARE`` of the host's, and
+headings, rows and items only with what they are part of. What is marked is not hashed, since it goes in any case. Elsewhere all elements of the
 body are. Pages with equal text count once, so that copies of an article are no template of their host. A page that
 would be left with nothing keeps its text.
 
 The counts are aggregated map-side, so a host with a third of all pages is no hot key. A host has at most (its mean
-number of subtrees on a page) / SHARE recurring hashes; they are joined to its pages by broadcast only if there are at
+number of subtrees on a page) / PIECE_SHARE recurring hashes; they are joined to its pages by broadcast only if there are at
 most ``BROADCAST_ROWS`` of them in all, else by a shuffle that adaptive execution splits.
 
 Null and empty html give an empty text. A page with a null url or no host has no host to compare with. Repeated rows
@@ -32,6 +33,9 @@ from idloom.plans.storage import materialize
 
 LEAST_PAGES = 5
 SHARE = 0.5
+#: The same for whole pieces of text inside an article, which must recur on so many unlike pages and that share of the host's.
+LEAST_PIECES = 20
+PIECE_SHARE = 0.02
 BROADCAST_ROWS = 100_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +49,8 @@ BLOCK = frozenset(
 TEXTUAL = frozenset(
     "p h1 h2 h3 h4 h5 h6 hgroup header li ul ol dir dt dd dl blockquote pre tr td th table thead tbody tfoot caption figure figcaption summary details".split()
 )
+#: Of these the ones that stand for themselves and go if very many articles share them; a heading, row or item is part of something.
+PIECES = frozenset("p ul ol dl dir table header figure blockquote pre details".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: An element that opens closes these, if they are open above the nearest other block.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -167,10 +173,8 @@ def _walk(part: Node) -> list[Node]:
 
 
 def digests(part: Node) -> dict[int, int]:
-    """Hash of the subtree of each element (by ``id``) that may be a template: 64 bits, signed, never 0."""
+    """Hash of the subtree of each element (by ``id``) that may be a template: 64 bits, signed, never 0, odd for pieces of an article."""
     nodes = _walk(part)
-    if part.inside and not any(x.name in BLOCK - TEXTUAL for x in nodes[1:]):
-        return {}
     whole: dict[int, bytes] = {}
     out = {}
     for node in reversed(nodes):
@@ -178,8 +182,12 @@ def digests(part: Node) -> dict[int, int]:
         for child in node.children:
             taken.update(b"\1" + whole.get(id(child), b"") if isinstance(child, Node) else b"\2" + " ".join(unescape(child).split()).encode())
         whole[id(node)] = taken.digest()
-        if node is not part and node.name not in VOID and (node.name in BLOCK or not part.inside) and not (part.inside and node.name in TEXTUAL):
-            out[id(node)] = int.from_bytes(taken.digest(), "big", signed=True) or 1
+        if node is not part and node.name not in VOID and (node.name in BLOCK or not part.inside):
+            number = int.from_bytes(taken.digest(), "big", signed=True)
+            if not part.inside or node.name not in TEXTUAL:
+                out[id(node)] = number & ~1 or 2
+            elif node.name in PIECES:
+                out[id(node)] = number | 1
     return out
 
 
@@ -246,8 +254,10 @@ def site_templates(pages: DataFrame) -> DataFrame:
     distinct = seen.distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
     counts, _ = materialize(distinct.where(f"hash = 0 or n >= {LEAST_PAGES}"), "subtrees")
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
-    recurring = counts.where("hash <> 0").join(total, "host").where(F.col("n") >= F.col("pages") * SHARE)
-    return recurring.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("templates"))  # bounded by SHARE
+    piece = F.col("hash").bitwiseAND(F.lit(1)) == 1
+    enough = F.when(piece, (F.col("n") >= LEAST_PIECES) & (F.col("n") >= F.col("pages") * PIECE_SHARE)).otherwise(F.col("n") >= F.col("pages") * SHARE)
+    recurring = counts.where("hash <> 0").join(total, "host").where(enough)
+    return recurring.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("templates"))  # bounded by the shares
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
