@@ -2,11 +2,14 @@
 
 Sets are put in one order of shingles and cut to a prefix: two sets of similarity t or more share a shingle among the
 first n - ceil(t * n) + 1 of each, whatever the order is. Shingles that many texts of a sample share come last, so that
-prefixes hold rare ones; the sample bears on the work only, never on the result. Texts that share a shingle of their
-prefixes, and that sizes and places in the order don't rule out, are compared by their whole sets.
+prefixes hold rare ones; the sample bears on the work only, never on the result. Pairs that share a shingle of their
+prefixes are dropped if sizes, places in the order or the number of prefix shingles that they share rule them out;
+the others are compared by their whole sets.
 
 Groups of more than ``WIDE`` texts about one shingle are compared in two rounds: neighbours and the first text, then
-whatever the components found so far leave apart. So n copies near each other don't give n * n pairs.
+whatever the components found so far leave apart. So n copies near each other don't give n * n pairs. The first round
+streams through such a group; for the second, groups that lie in one component are left out and large ones are dealt
+into cells. Exact copies count once in each task, before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -18,11 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from idloom.llm.cells import deal
 from idloom.plans.components import connected_components
 from idloom.plans.storage import materialize
 
 #: Texts about one shingle that are all compared at once.
 WIDE = 32
+#: Rows of one shingle that a task holds at once, and those that a cell of the second round takes.
+HELD = 500_000
+CELL = 20_000
 #: One text in so many is looked at for common shingles; those in ``COMMON`` of them or more, but at most ``KNOWN``, come last.
 SAMPLE = 16
 COMMON = 3
@@ -30,6 +37,7 @@ KNOWN = 100_000
 SLACK = 1e-9
 #: Keys of the texts to be compared up to which they are broadcast.
 BROADCAST_ROWS = 1_000_000
+PAIRS = ["a", "b", "n", "least", "near"]
 
 Sets = Callable[[DataFrame], DataFrame]
 
@@ -38,8 +46,8 @@ def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False)
 
 
-def _common_shingles(docs: DataFrame, sets_of: Sets) -> np.ndarray:
-    """Hashes of common shingles, the most common last."""
+def common_shingles(docs: DataFrame, sets_of: Sets) -> np.ndarray:
+    """Hashes of shingles that are common in a sample of ``docs`` (key, text), the most common last; ``KNOWN`` at most."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -48,93 +56,195 @@ def _common_shingles(docs: DataFrame, sets_of: Sets) -> np.ndarray:
 
     sample = sets_of(docs.where(F.pmod("key", F.lit(SAMPLE)) == 0).dropDuplicates(["key"])).select("hashes")
     counted = sample.mapInArrow(each, "hash long").groupBy("hash").count().where(F.col("count") >= COMMON)
-    found = counted.orderBy(F.desc("count"), "hash").limit(KNOWN).select("hash").collect()
-    return np.array([r.hash for r in reversed(found)], np.int64)
+    found = counted.orderBy(F.desc("count"), "hash").limit(KNOWN).select("hash").toArrow()
+    return found.column("hash").to_numpy()[::-1].copy()
 
 
-def prefixes(docs: DataFrame, sets_of: Sets, threshold: float) -> DataFrame:
-    """(hash, at, set) of the shingles in the prefix of each set; at holds the set's size (upper half) and their place in it."""
-    common = _common_shingles(docs, sets_of)
-    by_hash = np.argsort(common)
-    known = common[by_hash]
+class Prefix:
+    """Cuts sets of shingle hashes to the part that must hold one of any similar set's; ``common`` hashes come last."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, common: np.ndarray, threshold: float) -> None:
+        self.rank = np.argsort(common)
+        self.known = common[self.rank]
+        self.threshold = threshold
+
+    def __call__(self, own: np.ndarray) -> np.ndarray:
+        """The prefix of one set, whose hashes are distinct and ascend."""
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
+            seen = self.known[at] == own
+            if seen.any():
+                late = np.flatnonzero(seen)
+                own = np.concatenate([own[~seen], own[late[np.argsort(self.rank[at[late]], kind="stable")]]])
+        return own[: len(own) - int(np.ceil(self.threshold * len(own) - SLACK)) + 1]
+
+
+def _entries(signed: DataFrame) -> DataFrame:
+    """(hash, at, set) of the shingles in each prefix; at holds the set's size (upper half) and their place in it."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            held, sizes = [], []
-            for value in batch.column("hashes"):
-                own = np.frombuffer(value.as_py(), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                    rank = np.where(known[at] == own, by_hash[at], -1)
-                    own = own[np.lexsort((own, rank))]
-                held.append(own[: len(own) - int(np.ceil(threshold * len(own) - SLACK)) + 1])
-                sizes.append(len(own))
-            counts = np.array([len(x) for x in held])
-            if counts.sum():
-                columns = [np.concatenate(held), np.repeat(sizes, counts) << 32 | np.concatenate([np.arange(n) for n in counts]), np.repeat(_column(batch, "set"), counts)]
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["hash", "at", "set"])
-
-    return sets_of(docs).where("length(hashes) > 0").select("set", "hashes").mapInArrow(cut, "hash long, at long, set long")
-
-
-def _pairs(size: np.ndarray, key: np.ndarray, place: np.ndarray, label: np.ndarray | None, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of the texts about one shingle, in order of size, that may be similar; see the module for ``label``."""
-
-    def possible(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        most = np.minimum(size[i] - place[i], size[j] - place[j])
-        go = (size[i] >= threshold * size[j] - SLACK) & (most * (1 + threshold) >= threshold * (size[i] + size[j]) - SLACK)
-        if label is not None:
-            go &= label[i] != label[j]
-        return np.minimum(key[i][go], key[j][go]), np.maximum(key[i][go], key[j][go])
-
-    n = len(key)
-    if label is None and n > WIDE:
-        yield possible(np.arange(n - 1), np.arange(1, n))
-        yield possible(np.zeros(n - 1, int), np.arange(1, n))
-        return
-    for i in range(n - 1):
-        # Sizes ascend: later texts are too large from some place on.
-        end = int(np.searchsorted(size, size[i] / threshold + SLACK, side="right"))
-        if end > i + 1:
-            yield possible(np.full(end - i - 1, i), np.arange(i + 1, end))
-
-
-def _candidates(rows: DataFrame, threshold: float, labelled: bool) -> DataFrame:
-    """(a, b, hash, at) of the sets to be compared, a < b; ``rows`` are prefixes, with ``label`` in the second round.
-
-    The first round also gives the rows of groups above ``WIDE``, with the set in ``a`` and a null ``b``.
+            for begin in range(0, batch.num_rows, 1000):
+                part = batch.slice(begin, 1000)
+                held, sizes, sets = [], [], []
+                for number, size, value in zip(part.column("set").to_pylist(), part.column("size").to_pylist(), part.column("prefix"), strict=True):
+                    if size and number not in seen:
+                        seen.add(number)
+                        held.append(np.frombuffer(value.as_py(), np.int64))
+                        sizes.append(size)
+                        sets.append(number)
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                if held:
+                    counts = np.array([len(x) for x in held])
+                    columns = [np.concatenate(held), np.repeat(sizes, counts) << 32 | np.concatenate([np.arange(n) for n in counts]), np.repeat(sets, counts)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["hash", "at", "set"])
+
+    return signed.select("set", "size", "prefix").mapInArrow(spread, "hash long, at long, set long")
+
+
+def _least(size: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
+    """Prefix shingles that similar sets of these sizes must share.
+
+    What they share is at most that and the rest of the set whose prefix ends first in the order of shingles.
+    """
+    rest = np.ceil(threshold * np.maximum(size, other) - SLACK) - 1
+    return np.ceil(threshold / (1 + threshold) * (size + other) - SLACK) - rest
+
+
+def _sized(table: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of rows (hash, at, set) with one shingle are of unlike sets whose sizes don't rule them out; size[i] <= size[j]."""
+    return (table[2, i] != table[2, j]) & ((table[1, i] >> 32) >= threshold * (table[1, j] >> 32) - SLACK)
+
+
+def _placed(table: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs may be similar if this shingle is the first that they share, going by its places."""
+    size_i, size_j = table[1, i] >> 32, table[1, j] >> 32
+    most = np.minimum(size_i - (table[1, i] & 0xFFFFFFFF), size_j - (table[1, j] & 0xFFFFFFFF))
+    return most * (1 + threshold) >= threshold * (size_i + size_j) - SLACK
+
+
+def _batch(a: np.ndarray, b: np.ndarray, least: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
+    """Pairs with how often each comes, the least number of times that it must, and whether places ever allow it."""
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((high, low))
+    low, high, least, near = low[order], high[order], least[order], near[order]
+    starts = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+    counts = np.diff(np.r_[starts, len(low)])
+    columns = [low[starts], high[starts], counts.astype(np.int64), least[starts].astype(np.int64), np.logical_or.reduceat(near, starts)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=PAIRS)
+
+
+def _wide(table: np.ndarray) -> pa.RecordBatch:
+    """Rows of a wide group, kept for the second round."""
+    n = table.shape[1]
+    columns = [pa.array(table[2]), pa.nulls(n, pa.int64()), pa.array(table[0]), pa.array(table[1]), pa.nulls(n, pa.bool_())]
+    return pa.RecordBatch.from_arrays(columns, names=PAIRS)
+
+
+def _first_round(entries: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, n, least, near): pairs that share n prefix shingles in some task; those of wide groups have ``least`` 0.
+
+    ``near`` is whether some shingle's places allow the pair: those of the first one that it shares must. Rows of wide groups come too: set, null, hash and at.
     """
-    names = ["hash", "at", "set", *(["label"] if labelled else [])]
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(table: np.ndarray, going: bool) -> Iterator[pa.RecordBatch]:
+            """Pairs of whole groups; with ``going`` the only group is a wide one's part, its first row at the front."""
+            fresh = np.r_[True, (table[0, 1:] != table[0, :-1]) | (table[2, 1:] != table[2, :-1])]
+            table = table[:, fresh]  # exact copies
+            starts = np.flatnonzero(np.r_[True, table[0, 1:] != table[0, :-1]])
+            sizes = np.diff(np.r_[starts, table.shape[1]])
+            wide = np.repeat((sizes > WIDE) | going, sizes)
+            first = np.repeat(starts, sizes)
+            narrow = np.flatnonzero(~wide)
+            for step in range(1, min(WIDE, int(sizes.max()))):
+                i, j = narrow[:-step], narrow[step:]
+                same = first[i] == first[j]
+                if not same.any():
+                    break
+                i, j = i[same], j[same]
+                go = _sized(table, i, j, threshold)
+                if go.any():
+                    i, j = i[go], j[go]
+                    yield _batch(table[2, i], table[2, j], _least(table[1, i] >> 32, table[1, j] >> 32, threshold), _placed(table, i, j, threshold))
+            at = np.flatnonzero(wide)
+            if len(at):
+                yield _wide(table[:, at])
+                later = at[first[at] != at]
+                i, j = np.r_[later - 1, first[later]], np.r_[later, later]
+                go = _sized(table, i, j, threshold) & _placed(table, i, j, threshold)
+                if go.any():
+                    yield _batch(table[2, i[go]], table[2, j[go]], np.zeros(int(go.sum()), np.int64), np.ones(int(go.sum()), bool))
+
         held: list[np.ndarray] = []
+        going = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(np.stack([_column(batch, c) for c in ("hash", "at", "set")]))
+            if held[-1][0, -1] != held[0][0, 0]:
+                table = np.concatenate(held, axis=1)
+                if going:  # the rest of a wide group
+                    cut = int(np.searchsorted(table[0], table[0, 0], side="right"))
+                    yield from done(table[:, :cut], True)
+                    table, going = table[:, cut:], False
+                cut = int(np.searchsorted(table[0], table[0, -1]))
+                if cut:
+                    yield from done(table[:, :cut], False)
+                held = [table[:, cut:]]
+            elif sum(x.shape[1] for x in held) > HELD:
+                table = np.concatenate(held, axis=1)
+                yield from done(table, True)
+                held, going = [table[:, [0, -1]]], True
+        if held:
+            table = np.concatenate(held, axis=1)
+            if going:
+                cut = int(np.searchsorted(table[0], table[0, 0], side="right"))
+                yield from done(table[:, :cut], True)
+                table = table[:, cut:]
+            if table.shape[1]:
+                yield from done(table, False)
+
+    return entries.repartition("hash").sortWithinPartitions("hash", "at", "set").mapInArrow(paired, "a long, b long, n long, least long, near boolean")
 
+
+def _second_round(wide: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of rows (hash, at, set, label) that share a shingle, lie in two components and may be similar."""
+    apart = wide.groupBy("hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("hash")
+    dealt = deal(wide.join(apart, "hash", "left_semi"), ["hash"], ["set"], CELL)
+    cells = dealt.select(F.xxhash64("hash", "cell_i", "cell_j").alias("cell"), "at", "set", "label", F.when(F.col("cell_i") == F.col("cell_j"), -1).otherwise(F.col("own")).cast("long").alias("own"))
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(table: np.ndarray) -> Iterator[pa.RecordBatch]:
-            table = table[:, np.r_[True, (table[0, 1:] != table[0, :-1]) | (table[2, 1:] != table[2, :-1])]]  # exact copies
             starts = np.flatnonzero(np.r_[True, table[0, 1:] != table[0, :-1]])
-            ends = np.r_[starts[1:], table.shape[1]]
-            out: list[tuple[np.ndarray, np.ndarray]] = []
-            waiting = 0
-            for lo, hi in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
-                label = table[3, lo:hi] if labelled else None
-                if labelled and (label == label[0]).all():
-                    continue
-                if not labelled and hi - lo > WIDE:
-                    yield _batch([(table[2, lo:hi], None)], table[:2, lo:hi])
-                for a, b in _pairs(table[1, lo:hi] >> 32, table[2, lo:hi], table[1, lo:hi] & 0xFFFFFFFF, label, threshold):
-                    out.append((a, b))
-                    waiting += len(a)
-                    if waiting > 100_000 or len(out) > 10_000:
-                        yield _batch(out)
+            for lo, hi in zip(starts, np.r_[starts[1:], table.shape[1]], strict=True):
+                own = table[:, lo:hi]
+                size = own[1] >> 32
+                # The largest partner that places allow each row; sizes ascend, so later rows are too large from there on.
+                limit = np.minimum(size / threshold, (1 + threshold) / threshold * (size - (own[1] & 0xFFFFFFFF)) - size) + 1e-6
+                ends = np.searchsorted(size, limit, side="right")
+                out, waiting = [], 0
+                for i in np.flatnonzero(ends > np.arange(len(size)) + 1):
+                    j = np.arange(i + 1, ends[i])
+                    j = j[(own[3, j] != own[3, i]) & ((own[4, i] < 0) | (own[4, j] != own[4, i]))]
+                    k = np.full(len(j), i)
+                    go = _sized(own, k, j, threshold) & _placed(own, k, j, threshold)
+                    if go.any():
+                        out.append((own[2, k[go]], own[2, j[go]]))
+                        waiting += len(out[-1][0])
+                    if waiting > 100_000:
+                        yield _pairs(out)
                         out, waiting = [], 0
-            if out:
-                yield _batch(out)
+                if out:
+                    yield _pairs(out)
 
+        held: list[np.ndarray] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(np.stack([_column(batch, c) for c in names]))
-            # All of a group at once: what comes before the last hash is whole.
+            held.append(np.stack([_column(batch, c) for c in ("cell", "at", "set", "label", "own")]))
             if held[-1][0, -1] != held[0][0, 0]:
                 table = np.concatenate(held, axis=1)
                 cut = int(np.searchsorted(table[0], table[0, -1]))
@@ -143,25 +253,23 @@ def _candidates(rows: DataFrame, threshold: float, labelled: bool) -> DataFrame:
         if held:
             yield from done(np.concatenate(held, axis=1))
 
-    return rows.repartition("hash").sortWithinPartitions("hash", "at", "set").select(*names).mapInArrow(paired, "a long, b long, hash long, at long")
+    return cells.repartition("cell").sortWithinPartitions("cell", "at", "set").mapInArrow(paired, "a long, b long").distinct()
 
 
-def _batch(out: list[tuple[np.ndarray, np.ndarray | None]], rows: np.ndarray | None = None) -> pa.RecordBatch:
-    if rows is not None:
-        columns = [pa.array(out[0][0]), pa.nulls(rows.shape[1], pa.int64()), pa.array(rows[0]), pa.array(rows[1])]
-    else:
-        pairs = np.unique(np.stack([np.concatenate([x[k] for x in out]) for k in (0, 1)]), axis=1)
-        columns = [pa.array(pairs[0]), pa.array(pairs[1]), *[pa.nulls(pairs.shape[1], pa.int64())] * 2]
-    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "hash", "at"])
+def _pairs(out: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate([x[k] for x in out]) for k in (0, 1))
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, sets_of: Sets, threshold: float) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    keys, _ = materialize(known.join(named, "set").groupBy("set").agg(F.min("key").alias("key")).select("key"), "compared")
+    keys, _ = materialize(known.join(named, "set").select("key"), "compared")
     small = keys.count() <= BROADCAST_ROWS
     texts = docs.join(F.broadcast(keys) if small else keys, "key", "left_semi")
-    wanted, _ = materialize(sets_of(texts).groupBy("set").agg(F.first("hashes").alias("hashes")), "compared-sets")
+    once, _ = materialize(sets_of(texts).select("set", "key", "hashes"), "compared-sets")
+    wanted = once.groupBy("set").agg(F.first("hashes").alias("hashes"))
     left = wanted.select(F.col("set").alias("a"), F.col("hashes").alias("left"))
     right = wanted.select(F.col("set").alias("b"), F.col("hashes").alias("right"))
 
@@ -169,28 +277,31 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, sets_of: Sets
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("left"), batch.column("right"), strict=True):
-                u, v = np.frombuffer(x.as_py(), np.int64), np.frombuffer(y.as_py(), np.int64)
+                u, v = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
                 both = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(both / (len(u) + len(v) - both) >= threshold)
+                keep.append(both / (len(u) + len(v) - both) >= threshold - SLACK)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(compared, "a long, b long")
 
 
-def similar(docs: DataFrame, known: DataFrame, sets_of: Sets, threshold: float) -> DataFrame:
+def similar(docs: DataFrame, signed: DataFrame, sets_of: Sets, threshold: float) -> DataFrame:
     """(a, b): links that join the same sets as all pairs of similarity ``threshold`` or more do.
 
-    ``sets_of`` gives for rows of ``docs`` (text and its hash ``key``) a ``set`` that is equal for equal sets, and
-    ``hashes``: the distinct shingles' 64-bit hashes, ascending, as bytes. These would fill the disk and are made anew
-    where they are read; ``known`` has every text's key and set. Sets without shingles have no links.
+    ``signed`` is a written table with, for each text, its hash ``key``, a ``set`` that is equal for equal sets, the
+    set's ``size`` and its ``prefix`` (see :class:`Prefix`). ``sets_of`` gives for rows of ``docs`` (key, text) the set
+    and ``hashes``, the distinct shingles' 64-bit hashes, ascending, as bytes. These would fill the disk and are made
+    anew where they are compared. Sets without shingles have no links.
     """
-    found, _ = materialize(_candidates(prefixes(docs, sets_of, threshold), threshold, labelled=False), "candidates")
-    pairs, _ = materialize(found.where("b is not null").select("a", "b").distinct(), "pairs")
+    known, _ = materialize(signed.where("size > 0").groupBy("set").agg(F.min("key").alias("key")), "sets")
+    found, _ = materialize(_first_round(_entries(signed), threshold), "candidates")
+    counted = found.where("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("near").alias("near"))
+    pairs, _ = materialize(counted.where("n >= least and near").select("a", "b"), "pairs")
     links, _ = materialize(_verified(pairs, docs, known, sets_of, threshold), "similar")
-    wide = found.where("b is null").select("hash", "at", F.col("a").alias("set"))
+    wide = found.where("b is null").select(F.col("n").alias("hash"), F.col("least").alias("at"), F.col("a").alias("set"))
     if wide.isEmpty():
         return links
     component = connected_components(links, "a", "b").select(F.col("node").alias("set"), F.col("component").alias("label"))
     labelled = wide.join(component, "set", "left").withColumn("label", F.coalesce("label", "set"))
-    more, _ = materialize(_candidates(labelled, threshold, labelled=True).select("a", "b").distinct(), "pairs")
+    more, _ = materialize(_second_round(labelled, threshold), "pairs")
     return links if more.isEmpty() else links.unionByName(_verified(more, docs, known, sets_of, threshold))

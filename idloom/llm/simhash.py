@@ -9,6 +9,9 @@ exceeded. It also drops pairs whose leaves are all in one component already, so
 spanning forest and not its n * n links. Groups above ``HOT_GROUP`` are dealt into cells of salted halves, each pair of
 halves in one cell, so no group is ever too large for one task and no pair is lost.
 
+For the corpus pipeline :func:`keep_first` adds links of texts whose shingle sets are similar, found exactly, since at a
+similarity of 0.8 fingerprints differ in about ten bits.
+
 Nulls and texts without words have fingerprint zero and link like any other. Repeated rows and ties have equal
 fingerprints. A text of fewer words than a shingle is one shingle. An empty table gives an empty result. Other columns
 pass through untouched; a column that clashes with an added one is replaced.
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from idloom.llm.batches import runs
 from idloom.llm.cells import deal
-from idloom.llm.jaccard import similar
+from idloom.llm.jaccard import BROADCAST_ROWS, Prefix, common_shingles, similar
 from idloom.plans.components import connected_components
 from idloom.plans.storage import materialize
 
@@ -76,28 +79,52 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(hashed, "doc_id long, fingerprint long")
 
 
-def shingle_sets(docs: DataFrame, shingle: int, whole: bool = True) -> DataFrame:
-    """doc_id, key, fingerprint, ``hashes`` (the distinct shingles' hashes, ascending, as bytes; null unless ``whole``) and ``set``, their hash."""
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """key, ``hashes`` (the distinct shingles' hashes, ascending, as bytes) and ``set``, their hash, of rows (key, text)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_64_intdigest
+        for batch, texts in runs(batches):
+            sets = [_distinct(shingle_hashes(x, shingle)).tobytes() for x in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(_set_keys(sets)), pa.array(sets, pa.binary())], names=["key", "set", "hashes"])
+
+    return docs.select("key", "text").mapInArrow(hashed, "key long, set long, hashes binary")
+
+
+def _distinct(hashes: bytes) -> np.ndarray:
+    return np.unique(np.frombuffer(hashes, np.int64))
+
+
+def _set_keys(sets: list[bytes]) -> np.ndarray:
+    from xxhash import xxh3_64_intdigest
+
+    return np.array([xxh3_64_intdigest(x) for x in sets], dtype=np.uint64).view(np.int64)
+
+
+def signatures(docs: DataFrame, shingle: int, prefix: Prefix) -> DataFrame:
+    """doc_id, key, fingerprint, and the shingles' ``set``, ``size`` and ``prefix`` of rows (doc_id, key, text)."""
 
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in runs(batches):
-            all_hashes = [shingle_hashes(x, shingle) for x in texts]
-            found = np.array([_voted(x) for x in all_hashes], dtype=np.uint64).view(np.int64)
-            sets = [np.unique(np.frombuffer(x, np.int64)).tobytes() for x in all_hashes]
-            keys = np.array([xxh3_64_intdigest(x) for x in sets], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(found), pa.array(keys), pa.array(sets, pa.binary()) if whole else pa.nulls(len(sets), pa.binary())], names=["doc_id", "key", "fingerprint", "set", "hashes"])
+            voted, sets, sizes, cut = [], [], [], []
+            for text in texts:
+                hashes = shingle_hashes(text, shingle)
+                own = _distinct(hashes)
+                voted.append(_voted(hashes))
+                sets.append(own.tobytes())
+                sizes.append(len(own))
+                cut.append(prefix(own).tobytes() if len(own) else b"")
+            found = [pa.array(np.array(voted, dtype=np.uint64).view(np.int64)), pa.array(_set_keys(sets)), pa.array(sizes, pa.int64()), pa.array(cut, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *found], names=["doc_id", "key", "fingerprint", "set", "size", "prefix"])
 
-    return docs.select("doc_id", "text", "key").mapInArrow(hashed, "doc_id long, key long, fingerprint long, set long, hashes binary")
+    return docs.select("doc_id", "key", "text").mapInArrow(hashed, "doc_id long, key long, fingerprint long, set long, size long, prefix binary")
 
 
-def similar_links(docs: DataFrame, sets: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def similar_links(docs: DataFrame, signed: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """(left, right) links among fingerprints whose texts' shingle sets are equal or have that Jaccard similarity."""
-    known, _ = materialize(sets.groupBy("set", F.col("fingerprint").alias("fp")).agg(F.lit(1)).select("set", "fp"), "set-fingerprints")
+    known, _ = materialize(signed.select("set", F.col("fingerprint").alias("fp")).distinct(), "set-fingerprints")
     least = known.groupBy("set").agg(F.min("fp").alias("least"))
     equal = known.join(least, "set").where("fp <> least").select(F.col("least").alias("left"), F.col("fp").alias("right"))
-    found = similar(docs, sets, lambda rows: shingle_sets(rows, shingle), similarity)
+    found = similar(docs, signed, lambda rows: shingle_sets(rows, shingle), similarity)
     named = found.join(least.select(F.col("set").alias("a"), F.col("least").alias("left")), "a").join(least.select(F.col("set").alias("b"), F.col("least").alias("right")), "b")
     return named.where("left <> right").select("left", "right").unionByName(equal)
 
@@ -220,26 +247,26 @@ def _ordered(group: np.ndarray, key: np.ndarray) -> np.ndarray:
     return key[np.lexsort((key.view(np.uint64), group))]
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, similarity: float | None = None) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id (least doc_id reachable) of every row of ``docs``.
-
-    With a ``similarity``, texts whose shingle sets have at least that Jaccard similarity are linked too, however many
-    bits they differ in: see :mod:`idloom.llm.jaccard`.
-    """
-    keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("key"))
-    hashed, _ = materialize(fingerprints(docs, shingle) if similarity is None else shingle_sets(keyed, shingle, whole=False).drop("hashes"), "fingerprints")
+def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (least doc_id reachable) of every row of ``docs``."""
+    hashed, _ = materialize(fingerprints(docs, shingle), "fingerprints")
     first = hashed.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first"))
-    linked = links(first.select("fp"), budget)
-    edges, _ = materialize(linked if similarity is None else linked.unionByName(similar_links(keyed, hashed, shingle, similarity)), "links")
-    least = component_minimum(connected_components(edges, "left", "right"), first)
-    named = first.join(least, "fp", "left").select(F.col("fp").alias("fingerprint"), F.coalesce("least", "first").alias("component_id"))
-    # Two written tables: then adaptive execution can split the rows of a fingerprint that very many documents share.
-    known, _ = materialize(named, "fingerprint-components")
+    edges, _ = materialize(links(first.select("fp"), budget), "links")
+    known = _components(first, edges).withColumnRenamed("fp", "fingerprint").withColumnRenamed("least", "component_id")
     return hashed.join(known, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def _components(first: DataFrame, edges: DataFrame) -> DataFrame:
+    """(fp, least) for every fingerprint of ``first`` (fp, first): the least ``first`` of its component.
+
+    It is a written table: then adaptive execution can split the rows of a fingerprint that very many documents share.
+    """
+    least = component_minimum(connected_components(edges, "left", "right"), first)
+    return materialize(first.join(least, "fp", "left").select("fp", F.coalesce("least", "first").alias("least")), "fingerprint-components")[0]
+
+
 def component_minimum(components: DataFrame, first: DataFrame) -> DataFrame:
     """(fp, least): the least ``first`` of each fingerprint's component, for fingerprints that have links."""
     member = components.select(F.col("node").alias("fp"), "component").join(first, "fp")
@@ -247,12 +274,37 @@ def component_minimum(components: DataFrame, first: DataFrame) -> DataFrame:
     return member.select("fp", "component").join(least, "component").select("fp", "least")
 
 
-def keep_first(docs: DataFrame, shingle: int = 5, budget: int = 3, similarity: float | None = None) -> DataFrame:
-    """``docs`` with one row, the one of the least doc_id, for each near-duplicate component.
+def keep_first(docs: DataFrame, shingle: int = 5, budget: int = 3, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one row for each group of near-duplicates: the one of the least doc_id, then of the least text hash.
 
-    Of repeated rows with that same doc_id one stays. Rows without a doc_id stay: nothing tells them apart.
+    Documents link if their shingle sets have a Jaccard similarity of ``similarity`` or more (see
+    :mod:`idloom.llm.jaccard`) or their fingerprints differ in ``budget`` bits or fewer. A row is told by doc_id and
+    text, so unlike texts under one doc_id both stay. Rows without a doc_id come after all others; of rows with one
+    doc_id and text the least by the other columns stays. Null and empty texts are one group. What goes is told by
+    (doc_id, hash of the text), so texts are not shuffled unless more than ``BROADCAST_ROWS`` such keys go.
     """
-    found = near_duplicates(docs.where("doc_id is not null"), shingle, budget, similarity)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    numbered = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return numbered.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    key = F.xxhash64("text")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", key.alias("key"))
+    prefix = Prefix(common_shingles(keyed, lambda rows: shingle_sets(rows, shingle)), similarity)
+    signed, _ = materialize(signatures(keyed, shingle, prefix), "signatures")
+    rows = signed.groupBy("doc_id", "key", F.col("fingerprint").alias("fp")).agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    told, _ = materialize(rows.withColumn("first", order), "rows")
+    first = told.groupBy("fp").agg(F.min("first").alias("first"))
+    edges, _ = materialize(links(first.select("fp"), budget).unionByName(similar_links(keyed, signed, shingle, similarity)), "links")
+    placed = told.join(_components(first, edges), "fp")
+    goes = placed.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), (F.col("first") == F.col("least")).alias("_stays"), "n")
+    # What isn't named here stays: the first of a group, if there is but one such row.
+    named, _ = materialize(goes.where("not _stays or n > 1").drop("n"), "gone")
+    small = named.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    judged = docs.withColumns({"_own": F.col("doc_id").cast("long"), "_hash": key})
+    on = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key"))
+    judged = judged.join(F.broadcast(named) if small else named, on, "left")
+    single = judged.where("_stays is null").select(docs.columns)
+    if named.where("_stays").isEmpty():
+        return single
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    least = F.min_by(whole, F.to_json(F.struct(*others))) if others else F.first(whole)
+    repeated = judged.where("_stays").groupBy("_id", "_key").agg(least.alias("_row")).select("_row.*")
+    return single.unionByName(repeated)
