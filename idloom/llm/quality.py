@@ -8,7 +8,7 @@ Labels are learned only from rows whose crc32(doc_id as text) mod 5 is not 0. Th
 are never inputs of a score.
 
 Null texts count as empty and get a score like any other. Repeated documents get equal scores. A doc_id with several
-labels counts with the least. Without labels, or with labels of one kind, the score is that kind's smoothed share.
+labels counts with the least, one with several texts is fitted once. Without labels, or with labels of one kind, the score is that kind's smoothed share.
 An empty table gives an empty result. Other columns pass through :func:`score` and :func:`keep`.
 """
 
@@ -172,12 +172,16 @@ def fit(x: np.ndarray, y: np.ndarray) -> Rules:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Rules:
-    """Fit on the labelled documents; at most ``sample`` labels are used, so that side of the join is bounded."""
+    """Fit on the labelled documents; ``sample`` bounds the labels that are joined and the rows that are fitted.
+
+    A doc_id counts once, by the least of its rows' statistics, however many rows have it.
+    """
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").where("doc_id is not null and quality is not null")
     one = usable.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("_label"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    table = statistics(rows).select("_label", "_stats.*").toPandas()  # numbers of at most ``sample`` documents
+    once = statistics(rows).groupBy("doc_id").agg(F.min(F.struct("_label", "_stats.*")).alias("_row"))
+    table = once.select("_row.*").toPandas()  # numbers of at most ``sample`` documents
     table = table.sort_values(list(table.columns))
     return fit(table[list(STATISTICS)].to_numpy(np.float64), (table["_label"].to_numpy() > 0).astype(np.float64))
 
