@@ -26,7 +26,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from idloom.llm.expressions import let, literal, places
+from idloom.llm.expressions import islands, let, literal, places
 
 SHINGLE = 3
 BANDS = 16
@@ -131,13 +131,10 @@ def _verified(templates: dict[str, str]) -> str:
     for name, text in templates.items():
         own = shingles(text)
         table.append(f"named_struct('name', {literal(name)}, 'own', array({', '.join(map(literal, own))}), 'least', {ceil(CONTAINED * len(own) - 1e-9)}, 'span', {len(own) + ceil(len(own) / 4)})")
-    merged = """aggregate(filter(w, x -> x.n >= t.least), cast(array() as array<struct<from:int,to:int>>), (m, x) ->
-        if(size(m) > 0 and element_at(m, -1).to > x.from,
-           concat(slice(m, 1, size(m) - 1), array(named_struct('from', element_at(m, -1).from, 'to', greatest(element_at(m, -1).to, x.to)))),
-           concat(m, array(named_struct('from', x.from, 'to', x.to)))))"""
+    merged = islands("filter(w, x -> x.n >= t.least)", "from", "to", ">=")
     window = let("q", "filter(slice(h, j + 1, t.span), x -> x < p + t.span)", f"named_struct('from', p, 'to', array_max(q) + {SHINGLE}, 'n', size(array_distinct(transform(q, x -> ss[x]))))")
     hits = "filter(sequence(0, size(ss) - 1), i -> array_contains(t.own, ss[i]))"
-    matches = let("h", hits, let("w", f"transform(h, (p, j) -> {window})", f"transform({merged}, m -> named_struct('name', t.name, 'from', m.from, 'to', m.to))"))
+    matches = let("h", hits, let("w", f"transform(h, (p, j) -> {window})", f"transform({merged}, m -> named_struct('name', t.name, 'from', m.at, 'to', m.to))"))
     strings = f"transform(sequence(0, size(_words) - {SHINGLE}), i -> concat_ws(' ', {', '.join(f'_words[i+{k}]' for k in range(SHINGLE))}))"
     return let("ss", strings, f"flatten(transform(_retrieved, r -> {let('t', f'element_at(array({", ".join(table)}), r + 1)', matches)}))")
 

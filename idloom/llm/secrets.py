@@ -5,12 +5,14 @@ come from the code points of the gaps and matches before it. The battery adds sp
 a run of at least ``SHORTEST`` characters of ``[A-Za-z0-9+/_=-]``. Its encoding is the smallest alphabet that holds it
 (digits, hex, base32, upper or lower alphanumerics, alphanumerics, base64); its padding is left out. Three tests ask
 whether it can be random: the chi-squared test of a uniform alphabet, the runs test about the alphabet's middle and the
-lag-1 serial correlation. If any rejects at ``Z_RANDOM`` standard deviations, it is no secret. What passes is then
-tested against ordinary text: z is the distance of its number of equal character pairs (the chi-squared statistic, up
-to scale) from what letters of ordinary frequencies would give at this very length. These lower-tail p-values go
-through Benjamini and Hochberg's procedure, one for each length class (powers of two), over all candidates of the
-table. It needs only the counts by class and tenth of z, at most 32 x 121 numbers, which is all that reaches the
-driver; the cutoffs go back as literals. So nothing is shuffled but those counts and no row is joined.
+lag-1 serial correlation. Their p-values are joined by Bonferroni's rule and go through Benjamini and Hochberg's
+procedure, one for each length class (powers of two), over all candidates of the table: so of the candidates that are
+rejected as not random, at most ``FALSE_DISCOVERY_RATE`` are random on average, however many there are. Short strings
+of ordinary text pass such tests by chance, so what isn't rejected must also be unlike text of its own length: z is the
+distance of its number of equal character pairs (the chi-squared statistic, up to scale) and of its changes of
+character class from what ordinary text would give, and its lower-tail p-values go through the same procedure. All that
+needs the counts by class and rounded statistics only, at most 32 x 41 x 121 numbers, which is what reaches the driver;
+the cutoffs go back as literals. So nothing is shuffled but those counts and no row is joined.
 
 Nulls and empty texts have no spans. Repeated rows give repeated rows; an empty table an empty one. Other columns are
 ignored by :func:`scan` and pass through :func:`redact`.
@@ -24,7 +26,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from idloom.llm.expressions import let, literal, places
+from idloom.llm.expressions import islands, let, literal, places
 
 #: Base patterns, in the order in which spans that start together are listed. For assign, group 2 has 12+ characters.
 ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -35,13 +37,12 @@ KINDS = ("assign", "access", "hex", "random")
 
 SHORTEST = 20
 CANDIDATE = f"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
-#: Rejects a candidate as not random; beyond this a random string falls once in about a thousand.
-Z_RANDOM = 3.3
 #: Share of neighbours in ordinary text of which one is a digit, capital, small letter or mark and the other another.
 CLASS_CHANGES = 0.2
 FALSE_DISCOVERY_RATE = 0.01
-CLASSES = 32
-DEEPEST = 12.0
+#: Statistics are counted in steps of these, up to these bounds.
+STEP_WORST, HIGHEST = 0.2, 8.0
+STEP_TEXT, DEEPEST = 0.1, 12.0
 
 #: Usual frequencies of letters in English text, in percent.
 LETTER_PERCENT = {
@@ -122,9 +123,34 @@ def battery(token: str) -> str:
     return let("v", f"regexp_replace({token}, '=+$', '')", f"if(length(v) < {SHORTEST} or v rlike '^[0-9]*$', null, {let('a', _pick('v', lambda a: repr(a)), tests)})")
 
 
-def _random(test: str) -> str:
-    """SQL: no test rejects that the candidate is random."""
-    return f"(abs({test}.z_uniform) <= {Z_RANDOM} and abs({test}.z_runs) <= {Z_RANDOM} and abs({test}.z_serial) <= {Z_RANDOM})"
+def _worst(test: str) -> str:
+    """SQL: the largest distance of the three tests from what random strings give, rounded down to a step."""
+    return f"least({HIGHEST}D, floor(greatest(abs({test}.z_uniform), abs({test}.z_runs), abs({test}.z_serial)) / {STEP_WORST}D) * {STEP_WORST}D)"
+
+
+def _depth(test: str) -> str:
+    """SQL: z_text, rounded up to a step, and 0 where it is above."""
+    return f"least(0D, greatest({-DEEPEST}D, ceil({test}.z_text / {STEP_TEXT}D) * {STEP_TEXT}D))"
+
+
+def rejects(counts: dict[float, int], p_value) -> float | None:
+    """The statistic from which on Benjamini and Hochberg's procedure rejects, if any; the extremest come first in ``counts``."""
+    total, passed, found = sum(counts.values()), 0, None
+    for value, n in counts.items():
+        passed += n
+        if p_value(value) <= FALSE_DISCOVERY_RATE * passed / total:
+            found = value
+    return found
+
+
+def not_random(worst: float) -> float:
+    """Bonferroni's p-value of three two-sided tests, the worst of them at this distance."""
+    return min(1.0, 3 * math.erfc(worst / math.sqrt(2)))
+
+
+def unlike_text(z: float) -> float:
+    """The p-value of z_text; 1 for what counts as text."""
+    return 0.5 * math.erfc(-z / math.sqrt(2)) if z < 0 else 1.0
 
 
 def _candidates(docs: DataFrame) -> DataFrame:
@@ -133,37 +159,48 @@ def _candidates(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_tests", F.expr(f"if(text rlike {lit}, transform(regexp_extract_all(text, {lit}, 0), t -> {battery('t')}), cast(array() as array<struct<class:int,z_uniform:double,z_runs:double,z_serial:double,z_text:double>>))"))
 
 
-def cutoffs(docs: DataFrame) -> dict[int, float]:
-    """z_text at or below which a candidate is a discovery, by length class; classes without any are left out."""
+#: For each length class: the worst distance at which a candidate is rejected, and the z_text at or below which the others are found.
+Limits = dict[int, tuple[float, float]]
+
+
+def cutoffs(docs: DataFrame) -> Limits:
+    """The limits that all candidates of ``docs`` give; classes in which nothing is found are left out."""
     tested = _candidates(docs.select(F.coalesce("text", F.lit("")).alias("text"))).select(F.explode("_tests").alias("t")).where("t is not null")
-    depth = F.when(F.expr(_random("t")), F.least(F.lit(0.0), F.greatest(F.lit(-DEEPEST), F.ceil(F.col("t.z_text") * 10) / 10))).otherwise(0.0)
-    counted: dict[int, dict[float, int]] = {}
-    for length, z, n in tested.select(F.col("t.class").alias("class"), depth.alias("z")).groupBy("class", "z").count().collect():  # 32 x 121 rows at most
-        counted.setdefault(length, {})[z] = n
+    rounded = tested.select(F.col("t.class").alias("class"), F.expr(_worst("t")).alias("worst"), F.expr(_depth("t")).alias("z"))
+    counted: dict[int, list[tuple[float, float, int]]] = {}
+    for length, worst, z, n in rounded.groupBy("class", "worst", "z").count().collect():  # bounded by the steps
+        counted.setdefault(length, []).append((worst, z, n))
     found = {}
-    for length, by_z in counted.items():
-        total, passed = sum(by_z.values()), 0
-        for z in sorted(by_z):
-            passed += by_z[z]
-            if z < 0 and 0.5 * math.erfc(-z / math.sqrt(2)) <= FALSE_DISCOVERY_RATE * passed / total:
-                found[length] = z
+    for length, rows in counted.items():
+        by_worst: dict[float, int] = {}
+        for worst, _, n in sorted(rows, reverse=True):
+            by_worst[worst] = by_worst.get(worst, 0) + n
+        limit = rejects(by_worst, not_random)
+        limit = math.inf if limit is None else limit
+        by_z: dict[float, int] = {}
+        for z, n in sorted((0.0 if worst >= limit else z, n) for worst, z, n in rows):
+            by_z[z] = by_z.get(z, 0) + n
+        depth = rejects(by_z, unlike_text)
+        if depth is not None:
+            found[length] = (min(limit, 2 * HIGHEST), depth)
     return found
 
 
-def find(docs: DataFrame, limits: dict[int, float] | None = None) -> DataFrame:
+def find(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
     """``docs`` with ``spans``: array of struct<start, rank, end> in order; rank is the kind's place in ``KINDS``.
 
     ``limits`` come from :func:`cutoffs` over all of the rows unless given.
     """
     limits = cutoffs(docs) if limits is None else limits
-    cutoff = "case t.class " + " ".join(f"when {k} then {z}D" for k, z in sorted(limits.items())) + " end" if limits else "cast(null as double)"
+    passes = " ".join(f"when {k} then {_worst('t')} < {worst - STEP_WORST / 2}D and {_depth('t')} <= {z + STEP_TEXT / 2}D" for k, (worst, z) in sorted(limits.items()))
+    chosen = f"case t.class {passes} else false end" if limits else "false"
     kept = "transform({0}, p -> named_struct('start', p.at, 'rank', {1}, 'end', p.to))"
     assigned = literal(ASSIGN)
     base = f"""concat(
         transform(filter(zip_with({places(ASSIGN)}, if(text rlike {assigned}, regexp_extract_all(text, {assigned}, 2), cast(array() as array<string>)), (p, w) -> named_struct('p', p, 'n', length(w))), o -> o.n >= {LEAST_ASSIGNED}),
                   o -> named_struct('start', o.p.at, 'rank', 0, 'end', o.p.to)),
         {kept.format(places(ACCESS), 1)}, {kept.format(places(HEX), 2)})"""
-    accepted = f"filter(zip_with({places(CANDIDATE)}, _tests, (p, t) -> if(t is not null and {_random('t')} and t.z_text <= {cutoff}, p, null)), p -> p is not null)"
+    accepted = f"filter(zip_with({places(CANDIDATE)}, _tests, (p, t) -> if(t is not null and {chosen}, p, null)), p -> p is not null)"
     apart = "filter({0}, p -> not exists(_base, o -> o.start < p.to and p.at < o.end))"
     scanned = docs.withColumn("_text", F.col("text")).withColumn("text", F.coalesce("text", F.lit("")))
     scanned = _candidates(scanned).withColumn("_base", F.expr(base))
@@ -188,11 +225,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     Spans that overlap or touch share one mark.
     """
-    merged = """aggregate(spans, cast(array() as array<struct<start:int,end:int>>), (t, s) ->
-        if(size(t) > 0 and element_at(t, -1).end >= s.start,
-           concat(slice(t, 1, size(t) - 1), array(named_struct('start', element_at(t, -1).start, 'end', greatest(element_at(t, -1).end, s.end)))),
-           concat(t, array(named_struct('start', s.start, 'end', s.end)))))"""
-    cut = f"""{let('t', merged, f"concat(array_join(transform(t, (s, i) -> concat(substring(text, if(i = 0, 1, t[i-1].end + 1), s.start - if(i = 0, 0, t[i-1].end)), '{mark}')), ''), substring(text, element_at(t, -1).end + 1, length(text)))")}"""
+    # What lies between the islands, cut out of blocks of about the square root of their number.
+    before = "if(i*b + j = 0, 0, t[i*b + j - 1].to)"
+    piece = f"concat(substring(w, {before} - o + 1, x.at - {before}), '{mark}')"
+    block = let("o", "if(i = 0, 0, t[i*b - 1].to)", let("w", "substring(text, o + 1, t[least(i*b + b, size(t)) - 1].at - o)", f"array_join(transform(slice(t, i*b + 1, b), (x, j) -> {piece}), '')"))
+    pieces = let("b", "cast(ceil(sqrt(size(t))) as int)", f"array_join(transform(sequence(0, (size(t) - 1) div b), i -> {block}), '')")
+    cut = let("t", islands("spans", "start", "end", ">"), f"concat({pieces}, substring(text, element_at(t, -1).to + 1, length(text)))")
     found = find(docs).withColumn("_cut", F.expr(f"if(size(spans) > 0, {cut}, text)"))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("_cut")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
