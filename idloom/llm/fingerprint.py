@@ -3,8 +3,12 @@
 Every k-mer of code points is numbered by its earlier occurrences in the text, so that repeats count. Hashes of (k-mer,
 number) deal them into ``SLOTS`` slots; in each slot the ``TUPLE`` least are selected, put back into text order and
 hashed as one tuple. So a slot of two texts agrees only if the same k-mers were selected and stand in the same order,
-which makes the share of equal slots follow the edit distance and not only the sets. One hash function is dealt into
-slots instead of one function for each, so a text costs one pass. Slots that are empty in both texts don't count.
+which makes the share of equal slots follow the edit distance and not only the sets.
+
+One hash function is dealt into all slots, so a long text costs one pass. A slot that gets fewer than ``TUPLE`` k-mers,
+as in short texts, goes on to the next level: there twice as many functions serve half as many slots each, so that it is
+chosen from twice as many k-mers, up to the level at which each slot has a function of its own over the whole text. So
+every slot holds a tuple in order, by one rule for all lengths; only a text of a single k-mer has tuples of one.
 
 Likeness is 1 for two texts without characters and 0 for one of them. Null texts count as empty. Documents are in order
 of doc_id downwards, null ids last, ties by text; the next of the last is the first. Repeated rows are documents of
@@ -52,51 +56,88 @@ def kmers(points: np.ndarray) -> np.ndarray:
     return _mix(rolled)
 
 
-def _by_value(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in order of value, ties in order of place, and the values cut to the bits that the places leave."""
+def _order(values: np.ndarray) -> np.ndarray:
+    """Places in order of value, ties in order of place."""
     low = np.uint64((1 << len(values).bit_length()) - 1)
     packed = np.sort((values & ~low) | np.arange(len(values), dtype=np.uint64))
-    return (packed & low).astype(np.int64), packed & ~low
+    order = (packed & low).astype(np.int64)
+    tied = np.flatnonzero((packed[1:] | low) == (packed[:-1] | low))
+    if len(tied) and (values[order[tied]] != values[order[tied + 1]]).any():  # equal but for the bits that the places took
+        return np.argsort(values, kind="stable")
+    return order
 
 
-def sketch(grams: np.ndarray) -> np.ndarray:
-    """The slots of a text from its k-mers in text order; 0 marks an empty slot."""
-    slots = np.zeros(SLOTS, np.uint32)
-    n = len(grams)
-    if not n:
-        return slots
-    order, ordered = _by_value(grams)
+def numbered(grams: np.ndarray) -> np.ndarray:
+    """Hashes of (k-mer, how often it came before)."""
+    order = _order(grams)
+    ordered = grams[order]
     fresh = ordered[1:] != ordered[:-1]
-    rank = grams
-    if not fresh.all():
-        begins = np.flatnonzero(np.r_[True, fresh])
-        number = np.arange(n) - np.repeat(begins, np.diff(np.r_[begins, n]))
-        again = np.flatnonzero(number)
-        rank = grams.copy()
-        rank[order[again]] = _mix(grams[order[again]] + number[again].astype(np.uint64) * _odd[0])
-    shift = np.uint64(SLOTS.bit_length() - 1)
+    if fresh.all():
+        return grams
+    begins = np.flatnonzero(np.r_[True, fresh])
+    number = np.arange(len(grams)) - np.repeat(begins, np.diff(np.r_[begins, len(grams)]))
+    again = np.flatnonzero(number)
+    rank = grams.copy()
+    rank[order[again]] = _mix(grams[order[again]] + number[again].astype(np.uint64) * _odd[0])
+    return rank
+
+
+def _least(rank: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets (the top ``bits`` of the hash) of ``TUPLE`` k-mers or more, and the places of the least in text order."""
     places = None
-    if n > 2 * SPARE * SLOTS:
-        few = np.flatnonzero((rank << shift) < np.uint64(2**64 * SPARE * SLOTS // n))
-        if (np.bincount((rank[few] >> (np.uint64(64) - shift)).astype(np.int64), minlength=SLOTS) >= TUPLE).all():
+    if len(rank) > 2 * SPARE << bits:  # few enough k-mers hold the least of every bucket, as a rule
+        few = np.flatnonzero((rank << np.uint64(bits)) < np.uint64((SPARE << 64 + bits) // len(rank)))
+        if (np.bincount(_bucket(rank[few], bits), minlength=1 << bits) >= TUPLE).all():
             places = few
-    found, _ = _by_value(rank if places is None else rank[places])  # by slot, and by hash inside
-    places = found if places is None else places[found]
-    slot = (rank[places] >> (np.uint64(64) - shift)).astype(np.int64)
-    begins = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
-    sizes = np.diff(np.r_[begins, len(slot)])
-    chosen = np.stack([np.where(sizes > i, places[np.minimum(begins + i, len(places) - 1)], n) for i in range(TUPLE)], axis=1)
-    chosen.sort(axis=1)  # text order inside each slot; n stands for none
-    filled = slot[begins]
-    value = np.zeros(len(filled), np.uint64)
-    for i in range(TUPLE):
-        there = chosen[:, i] < n
-        gram = grams[np.minimum(chosen[:, i], n - 1)]
-        value = np.where(there, _mix(value + gram + np.uint64((i + 1) * int(_odd[0]) & _full)), value)
-    slots[filled] = np.maximum(value >> np.uint64(32), np.uint64(1)).astype(np.uint32)
+    places = _order(rank) if places is None else places[_order(rank[places])]
+    bucket = _bucket(rank[places], bits)
+    begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    begins = begins[np.diff(np.r_[begins, len(bucket)]) >= TUPLE]
+    return bucket[begins], np.sort(places[begins[:, None] + np.arange(TUPLE)], axis=1)
+
+
+def _bucket(rank: np.ndarray, bits: int) -> np.ndarray:
+    return (rank >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(rank), np.int64)
+
+
+def function(level: int, number: int) -> np.uint64:
+    """What tells one hash function from the others; the first one is the k-mers' own hash."""
+    return np.uint64((level * SLOTS + number) * int(_odd[2]) & _full)
+
+
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """The slots of a text from its k-mers in text order; all are 0 without any."""
+    slots = np.zeros(SLOTS, np.uint32)
+    if not len(grams):
+        return slots
+    rank = numbered(grams)
+    if len(grams) < TUPLE:
+        return np.full(SLOTS, max(1, int(_tuples(grams, np.zeros((1, len(grams)), np.int64), 0)[0])), np.uint32)
+    whole = SLOTS.bit_length() - 1
+    waiting = np.ones(SLOTS, bool)
+    for level in range(whole + 1):
+        bits = whole - level
+        for number in range(1 << level):
+            own = slice(number << bits, (number + 1) << bits)
+            if waiting[own].any():
+                buckets, chosen = _least(rank if not level else _mix(rank ^ function(level, number)), bits)
+                fresh = waiting[own][buckets]
+                at = (number << bits) + buckets[fresh]
+                slots[at] = _tuples(grams, chosen[fresh], level)
+                waiting[at] = False
+        if not waiting.any():
+            break
     return slots
 
 
+def _tuples(grams: np.ndarray, chosen: np.ndarray, level: int) -> np.ndarray:
+    """Hashes of k-mers in their order, 32 bits, never 0."""
+    value = np.full(len(chosen), level, np.uint64)
+    for i in range(chosen.shape[1]):
+        value = _mix(value + grams[chosen[:, i]] + np.uint64((i + 1) * int(_odd[0]) & _full))
+    return np.maximum(value >> np.uint64(32), np.uint64(1)).astype(np.uint32)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Share of equal slots among those that either text fills; 1 if neither fills any."""
     either = (a > 0) | (b > 0)
