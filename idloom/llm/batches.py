@@ -5,20 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Texts are taken from an Arrow batch in runs of at most so many characters, so that memory stays bounded.
-RUN_CHARS = 4_000_000
+#: Texts are taken from an Arrow batch in runs of at most so many bytes, so that memory stays bounded.
+RUN_BYTES = 2_000_000
 
 
-def runs(batches: Iterable[pa.RecordBatch], limit: int = RUN_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches with their ``text`` column as strings (null: empty), each of about ``limit`` characters."""
+def runs(batches: Iterable[pa.RecordBatch], limit: int = RUN_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of the batches with their ``text`` column as strings (null: empty), each of about ``limit`` bytes."""
     for batch in batches:
-        texts = [x or "" for x in batch.column("text").to_pylist()]
+        column = batch.column("text")
         begin = size = 0
-        for i, text in enumerate(texts):
-            if i > begin and size + len(text) > limit:
-                yield batch.slice(begin, i - begin), texts[begin:i]
+        for i, length in enumerate(pc.binary_length(column).to_pylist()):
+            if i > begin and size + (length or 0) > limit:
+                yield batch.slice(begin, i - begin), [x or "" for x in column.slice(begin, i - begin).to_pylist()]
                 begin, size = i, 0
-            size += len(text)
-        if texts:
-            yield batch.slice(begin), texts[begin:]
+            size += length or 0
+        if batch.num_rows:
+            yield batch.slice(begin), [x or "" for x in column.slice(begin).to_pylist()]

@@ -49,13 +49,8 @@ def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
 def common_shingles(docs: DataFrame, sets_of: Sets) -> np.ndarray:
     """Hashes of shingles that are common in a sample of ``docs`` (key, text), the most common last; ``KNOWN`` at most."""
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for hashes in batch.column("hashes"):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(hashes.as_py(), np.int64))], names=["hash"])
-
-    sample = sets_of(docs.where(F.pmod("key", F.lit(SAMPLE)) == 0).dropDuplicates(["key"])).select("hashes")
-    counted = sample.mapInArrow(each, "hash long").groupBy("hash").count().where(F.col("count") >= COMMON)
+    sample = sets_of(docs.where(F.pmod("key", F.lit(SAMPLE)) == 0).dropDuplicates(["key"])).select(F.explode("hashes").alias("hash"))
+    counted = sample.groupBy("hash").count().where(F.col("count") >= COMMON)
     found = counted.orderBy(F.desc("count"), "hash").limit(KNOWN).select("hash").toArrow()
     return found.column("hash").to_numpy()[::-1].copy()
 
@@ -268,21 +263,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, sets_of: Sets
     keys, _ = materialize(known.join(named, "set").select("key"), "compared")
     small = keys.count() <= BROADCAST_ROWS
     texts = docs.join(F.broadcast(keys) if small else keys, "key", "left_semi")
-    once, _ = materialize(sets_of(texts).select("set", "key", "hashes"), "compared-sets")
+    once, _ = materialize(sets_of(texts).select("set", "hashes"), "compared-sets")
     wanted = once.groupBy("set").agg(F.first("hashes").alias("hashes"))
     left = wanted.select(F.col("set").alias("a"), F.col("hashes").alias("left"))
     right = wanted.select(F.col("set").alias("b"), F.col("hashes").alias("right"))
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("left"), batch.column("right"), strict=True):
-                u, v = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(both / (len(u) + len(v) - both) >= threshold - SLACK)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(compared, "a long, b long")
+    joined = pairs.join(left, "a").join(right, "b")
+    both = F.size(F.array_intersect("left", "right"))
+    return joined.where(both >= threshold * (F.size("left") + F.size("right") - both) - SLACK).select("a", "b")
 
 
 def similar(docs: DataFrame, signed: DataFrame, sets_of: Sets, threshold: float) -> DataFrame:
@@ -290,7 +278,7 @@ def similar(docs: DataFrame, signed: DataFrame, sets_of: Sets, threshold: float)
 
     ``signed`` is a written table with, for each text, its hash ``key``, a ``set`` that is equal for equal sets, the
     set's ``size`` and its ``prefix`` (see :class:`Prefix`). ``sets_of`` gives for rows of ``docs`` (key, text) the set
-    and ``hashes``, the distinct shingles' 64-bit hashes, ascending, as bytes. These would fill the disk and are made
+    and ``hashes``, the distinct shingles' 64-bit hashes, ascending. These would fill the disk and are made
     anew where they are compared. Sets without shingles have no links.
     """
     known, _ = materialize(signed.where("size > 0").groupBy("set").agg(F.min("key").alias("key")), "sets")

@@ -80,14 +80,25 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """key, ``hashes`` (the distinct shingles' hashes, ascending, as bytes) and ``set``, their hash, of rows (key, text)."""
+    """key, ``hashes`` (the distinct shingles' hashes, ascending) and ``set``, their hash, of rows (key, text); once a task for each key."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch, texts in runs(batches):
-            sets = [_distinct(shingle_hashes(x, shingle)).tobytes() for x in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(_set_keys(sets)), pa.array(sets, pa.binary())], names=["key", "set", "hashes"])
-
-    return docs.select("key", "text").mapInArrow(hashed, "key long, set long, hashes binary")
+            keys, sets = [], []
+            for key, text in zip(batch.column("key").to_pylist(), texts, strict=True):
+                if key not in seen:
+                    seen.add(key)
+                    keys.append(key)
+                    sets.append(_distinct(shingle_hashes(text, shingle)))
+            if len(seen) > 1_000_000:
+                seen.clear()
+            if keys:
+                ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(_set_keys([x.tobytes() for x in sets])), lists], names=["key", "set", "hashes"])
+
+    return docs.select("key", "text").mapInArrow(hashed, "key long, set long, hashes array<long>")
 
 
 def _distinct(hashes: bytes) -> np.ndarray:
