@@ -3,7 +3,7 @@
 Equal vectors of a label are joined first. Each distinct vector is rotated by three rounds of random signs and a fast
 Hadamard transform; the nearest of the 2d signed axes is its hash. ``HASHES`` such hashes make a table's bucket, and
 each vector goes to its ``PROBES`` likeliest buckets in each of ``TABLES`` tables. Two vectors at cosine 0.93 in 64
-dimensions share a bucket with a probability above 0.999 (tests measure it). Every pair that shares one is verified by
+dimensions share a bucket with a probability above 0.999; tests hold it to 0.9 from 2 to 512 dimensions. Every pair that shares one is verified by
 its cosine in double precision, so no link is false. A pair that shares several buckets counts in the first of them
 only, which both rows can tell from the buckets they carry; so pairs are counted where they meet and never leave the
 task: it returns each vector's number of links and a spanning forest. Buckets above ``HOT_BUCKET`` are dealt into cells.
@@ -82,7 +82,10 @@ def usable(vector: Column) -> Column:
 
 
 def _hashed(distinct: DataFrame) -> DataFrame:
-    """Rows of ``distinct`` (uid, label, vector, copies) once for each bucket, with all of the row's buckets."""
+    """Rows of ``distinct`` (uid, label, vector, copies) once for each bucket, with all of the row's buckets.
+
+    The buckets are written once: they are read to count the large ones and again to deal the rows.
+    """
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -93,7 +96,8 @@ def _hashed(distinct: DataFrame) -> DataFrame:
 
     schema = f"uid long, label {distinct.schema['label'].dataType.simpleString()}, vector array<{distinct.schema['vector'].dataType.elementType.simpleString()}>, copies long, codes array<long>"
     placed = distinct.select("uid", "label", "vector", "copies").mapInPandas(place, schema)
-    return placed.withColumn("size", F.size("vector")).withColumn("code", F.explode("codes"))
+    written, _ = materialize(placed, "buckets")
+    return written.withColumn("size", F.size("vector")).withColumn("code", F.explode("codes"))
 
 
 def _verified(dealt: DataFrame, threshold: float) -> DataFrame:

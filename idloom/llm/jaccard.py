@@ -6,10 +6,10 @@ prefixes hold rare ones; the sample bears on the work only, never on the result.
 prefixes are dropped if sizes, places in the order or the number of prefix shingles that they share rule them out;
 the others are compared by their whole sets.
 
-Groups of more than ``WIDE`` texts about one shingle are compared in two rounds: neighbours and the first text, then
-whatever the components found so far leave apart. So n copies near each other don't give n * n pairs. The first round
-streams through such a group; for the second, groups that lie in one component are left out and large ones are dealt
-into cells. Exact copies count once in each task, before anything is shuffled.
+Groups of more than ``WIDE`` texts about one shingle are compared in three rounds: neighbours and the first text; then
+some of those that the components found so far leave apart; then all that are still apart. So n copies near each other
+don't give n * n pairs. The first round streams through such a group; for the others, groups that lie in one component
+are left out and large ones are dealt into cells. Exact copies count once in each task, before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -27,7 +27,10 @@ from idloom.plans.storage import materialize
 
 #: Texts about one shingle that are all compared at once.
 WIDE = 32
-#: Rows of one shingle that a task holds at once, and those that a cell of the second round takes.
+#: In larger groups: how many texts before each one it is compared with, and how many of other components in the round after.
+NEIGHBOURS = 4
+PARTNERS = 8
+#: Rows of one shingle that a task holds at once, and those that a cell of the later rounds takes.
 HELD = 500_000
 CELL = 20_000
 #: One text in so many is looked at for common shingles; those in ``COMMON`` of them or more, but at most ``KNOWN``, come last.
@@ -132,7 +135,7 @@ def _batch(a: np.ndarray, b: np.ndarray, least: np.ndarray, near: np.ndarray) ->
 
 
 def _wide(table: np.ndarray) -> pa.RecordBatch:
-    """Rows of a wide group, kept for the second round."""
+    """Rows of a wide group, kept for the later rounds."""
     n = table.shape[1]
     columns = [pa.array(table[2]), pa.nulls(n, pa.int64()), pa.array(table[0]), pa.array(table[1]), pa.nulls(n, pa.bool_())]
     return pa.RecordBatch.from_arrays(columns, names=PAIRS)
@@ -168,7 +171,11 @@ def _first_round(entries: DataFrame, threshold: float) -> DataFrame:
             if len(at):
                 yield _wide(table[:, at])
                 later = at[first[at] != at]
-                i, j = np.r_[later - 1, first[later]], np.r_[later, later]
+                pairs = [np.stack([first[later], later])]
+                for step in range(1, NEIGHBOURS + 1):
+                    near = at[at - step > first[at]]
+                    pairs.append(np.stack([near - step, near]))
+                i, j = np.concatenate(pairs, axis=1)
                 go = _sized(table, i, j, threshold) & _placed(table, i, j, threshold)
                 if go.any():
                     yield _batch(table[2, i[go]], table[2, j[go]], np.zeros(int(go.sum()), np.int64), np.ones(int(go.sum()), bool))
@@ -202,20 +209,41 @@ def _first_round(entries: DataFrame, threshold: float) -> DataFrame:
             if table.shape[1]:
                 yield from done(table, False)
 
-    return entries.repartition("hash").sortWithinPartitions("hash", "at", "set").mapInArrow(paired, "a long, b long, n long, least long, near boolean")
+    # By size and set, so that neighbours in the groups of many shingles are the same pairs.
+    ordered = entries.repartition("hash").sortWithinPartitions("hash", F.shiftright("at", 32), "set")
+    return ordered.mapInArrow(paired, "a long, b long, n long, least long, near boolean")
 
 
-def _second_round(wide: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of rows (hash, at, set, label) that share a shingle, lie in two components and may be similar."""
+def _across(wide: DataFrame, threshold: float, partners: int | None) -> DataFrame:
+    """(a, b) of rows (hash, at, set, label) that share a shingle, lie in two components and may be similar.
+
+    With ``partners`` only rows outside of a group's largest component are looked at, with so many others each.
+    """
     apart = wide.groupBy("hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("hash")
     dealt = deal(wide.join(apart, "hash", "left_semi"), ["hash"], ["set"], CELL)
     cells = dealt.select(F.xxhash64("hash", "cell_i", "cell_j").alias("cell"), "at", "set", "label", F.when(F.col("cell_i") == F.col("cell_j"), -1).otherwise(F.col("own")).cast("long").alias("own"))
 
+    def sampled(own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        labels, counts = np.unique(own[3], return_counts=True)
+        out = []
+        for i in np.flatnonzero(own[3] != labels[counts.argmax()]):
+            j = np.flatnonzero((own[3] != own[3, i]) & ((own[4, i] < 0) | (own[4] != own[4, i])))
+            low, high = np.minimum(i, j), np.maximum(i, j)
+            go = np.flatnonzero(_sized(own, low, high, threshold) & _placed(own, low, high, threshold))
+            if len(go):  # spread over the group, from a place that differs by shingle
+                at = go[(int(own[0, i]) % len(go) + np.arange(min(partners, len(go))) * max(1, len(go) // partners)) % len(go)]
+                out.append((own[2, low[at]], own[2, high[at]]))
+        if out:
+            yield _pairs(out)
+
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(table: np.ndarray) -> Iterator[pa.RecordBatch]:
             starts = np.flatnonzero(np.r_[True, table[0, 1:] != table[0, :-1]])
             for lo, hi in zip(starts, np.r_[starts[1:], table.shape[1]], strict=True):
                 own = table[:, lo:hi]
+                if partners:
+                    yield from sampled(own)
+                    continue
                 size = own[1] >> 32
                 # The largest partner that places allow each row; sizes ascend, so later rows are too large from there on.
                 limit = np.minimum(size / threshold, (1 + threshold) / threshold * (size - (own[1] & 0xFFFFFFFF)) - size) + 1e-6
@@ -289,7 +317,11 @@ def similar(docs: DataFrame, signed: DataFrame, sets_of: Sets, threshold: float)
     wide = found.where("b is null").select(F.col("n").alias("hash"), F.col("least").alias("at"), F.col("a").alias("set"))
     if wide.isEmpty():
         return links
-    component = connected_components(links, "a", "b").select(F.col("node").alias("set"), F.col("component").alias("label"))
-    labelled = wide.join(component, "set", "left").withColumn("label", F.coalesce("label", "set"))
-    more, _ = materialize(_second_round(labelled, threshold), "pairs")
-    return links if more.isEmpty() else links.unionByName(_verified(more, docs, known, sets_of, threshold))
+    for partners in (PARTNERS, None):
+        component = connected_components(links, "a", "b").select(F.col("node").alias("set"), F.col("component").alias("label"))
+        labelled, _ = materialize(wide.join(component, "set", "left").withColumn("label", F.coalesce("label", "set")), "labelled")
+        more, _ = materialize(_across(labelled, threshold, partners), "pairs")
+        if not more.isEmpty():
+            found, _ = materialize(_verified(more, docs, known, sets_of, threshold), "similar")
+            links = links.unionByName(found)
+    return links
