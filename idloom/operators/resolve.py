@@ -120,7 +120,7 @@ def resolve(scoped: DataFrame, policy: Policy = Policy(), identify: ids.Identify
     known = whole.withColumn("otp", otp).withColumn("name_key", name).join(groups.withColumnRenamed("events", "partners").drop("occurrences"), GROUP, "left")
     known = known.withColumn("partners", F.when(F.col("otp"), F.col("partners")))
     codes = present(
-        F.when(F.col("otp"), V.ONE_TOKEN_PERSON_SOURCE_SCOPED),
+        F.when(F.col("otp") & F.lit(policy.one_token_person_scope == "source_event"), V.ONE_TOKEN_PERSON_SOURCE_SCOPED),
         F.when(F.col("member_count") > 1, V.EXACT_NAME_IN_SCOPE).otherwise(V.SINGLETON_NAME),
         F.when(F.col("by_alias"), V.SOURCE_LOCAL_ALIAS),
     )

@@ -63,11 +63,13 @@ class _Package:
         return dataclasses.replace(found, assignments=materialize(found.assignments, "fact-assignments")[0], edges=materialize(found.edges, "edges")[0])
 
 
-def _query(sql: str, policy: Policy = Policy()):
+def _query(sql: str, policy: Policy = Policy(), base: Callable[[str], str] = str):
+    """Register a query with its SQL; ``base`` changes the tables that all SQL shares."""
+
     def register(build: Callable[[_Package], DataFrame]):
         name = build.__name__
         QUERIES[name] = lambda spark, sf_dir: build(_Package(spark, sf_dir, policy))
-        ORACLES[name] = f"with recursive {_BASE}\n{sql}"
+        ORACLES[name] = f"with recursive {base(_BASE)}\n{sql}"
         return build
 
     return register
@@ -242,6 +244,21 @@ def reason_code_counts(p: _Package) -> DataFrame:
     return report.reason_code_counts(p.resolution.assignments)
 
 
+def _global(base: str) -> str:
+    """The shared tables where one-token persons are one entity across source events."""
+    kept = base.replace("case when otp then source_event_id else '' end as locality", "'' as locality")
+    return kept.replace("case when o.otp then 'ONE_TOKEN_PERSON_SOURCE_SCOPED,' else '' end || ", "")
+
+
+@_query(
+    "select code as reason_code, count(*) as n from (select unnest(string_split(codes, ',')) as code from asg) group by code",
+    Policy(one_token_person_scope="global"),
+    _global,
+)
+def reason_code_counts_global(p: _Package) -> DataFrame:
+    return report.reason_code_counts(p.resolution.assignments)
+
+
 @_query("select printf('%.2f', confidence) as confidence, count(*) as n from asg group by 1")
 def confidence_histogram(p: _Package) -> DataFrame:
     return report.confidence_histogram(p.resolution.assignments)
@@ -340,7 +357,7 @@ def alias_questions(p: _Package) -> DataFrame:
     from mem a join mem b on a.org_id = b.org_id and a.workspace_id = b.workspace_id and a.name_key = b.name_key and a.source_event_id < b.source_event_id
     join plan p on a.org_id = p.org_id and a.workspace_id = p.workspace_id and a.name_key = p.name_key where p.taken"""
 )
-def possible_duplicates(p: _Package) -> DataFrame:
+def possible_duplicates_within_budget(p: _Package) -> DataFrame:
     found = pairs.possible_duplicates(p.settled, BUDGET)
     return found.select("left_canonical_entity_id", "right_canonical_entity_id", "confidence", "level", _text("evidence_candidate_entity_ids").alias("evidence"))
 
@@ -354,7 +371,7 @@ def possible_duplicates(p: _Package) -> DataFrame:
     from mem a join mem b on a.org_id = b.org_id and a.workspace_id = b.workspace_id and a.name_key = b.name_key and a.source_event_id < b.source_event_id
     join pair_n p on a.org_id = p.org_id and a.workspace_id = p.workspace_id and a.name_key = p.name_key"""
 )
-def possible_duplicates_in_full(p: _Package) -> DataFrame:
+def possible_duplicates(p: _Package) -> DataFrame:
     found = pairs.possible_duplicates(p.settled, None)
     return found.select("left_canonical_entity_id", "right_canonical_entity_id", "confidence", "level", _text("evidence_candidate_entity_ids").alias("evidence"))
 
@@ -570,8 +587,7 @@ def pair_scoring(p: _Package) -> DataFrame:
     result = p.settled
     rows = pairs.members(result)
     labels = p.spark.sql(f"with {_LABELLED.lstrip(', ').replace(chr(34), '`')} select * from labels".replace(" from occ)", " from {occ})"), occ=result.keyed)
-    emitted = pairs.unresolved_pairs(rows, pairs.pair_counts(rows)).select(F.col("left_id").alias("left"), F.col("right_id").alias("right"))
-    return report.pair_scores(report.predict(labels, result.assignments, emitted))
+    return report.pair_scores(report.predict(labels, result.assignments, pairs.asked_pairs(labels, rows, pairs.pair_counts(rows))))
 
 
 @_query(

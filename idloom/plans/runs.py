@@ -139,6 +139,12 @@ def build_report(settings: Settings, inputs: tables.Inputs, result: Resolution,
     }
 
 
+def _shared_id(entities: DataFrame) -> str | None:
+    """An id that several entities have, if any: their content hashes collide."""
+    found = entities.groupBy("canonical_entity_id").count().where("count > 1").first()
+    return found and found["canonical_entity_id"]
+
+
 def run(spark: SparkSession, settings: Settings, labels: str | None = None) -> dict:
     """Read a package, resolve, project, verify, and write the artifacts; all six appear at once or none."""
     policy, stages = settings.policy, Stages()
@@ -149,6 +155,8 @@ def run(spark: SparkSession, settings: Settings, labels: str | None = None) -> d
         lazy = resolve(scoped, policy, ids.portable, ids.casefold)
         entities = _kept(lazy.entities, "entities")
         lazy = dataclasses.replace(lazy, entities=entities, assignments=_kept(lazy.assignments, "assignments"), links=_kept(lazy.links, "alias-links"), edges=_kept(lazy.edges, "alias-edges"))
+    if shared := _shared_id(lazy.entities):
+        raise RuntimeError(f"two entities have the id {shared}")
     with stages.stage("verify_entities"):
         violations = _violations(invariants.entity_invariants(lazy.entities, lazy.assignments, lazy.keyed))
     with stages.stage("project"):
@@ -177,8 +185,10 @@ def run(spark: SparkSession, settings: Settings, labels: str | None = None) -> d
             document = build_report(settings, inputs, lazy, projected, plan, rows, written, violations, stages)
             if labels and os.path.isfile(labels):
                 asked = jsonl.read(spark, labels, jsonl.SCHEMAS["public_labeled_pairs.jsonl"]).select(F.col("left_candidate_entity_id").alias("left"), F.col("right_candidate_entity_id").alias("right"), "label")
-                two = duplicates.select(F.array_distinct("evidence_candidate_entity_ids").alias("e")).where(F.size("e") == 2).select(F.get("e", F.lit(0)).alias("left"), F.get("e", F.lit(1)).alias("right"))
-                document["identity_quality"] = identity_quality(asked, lazy.assignments, two, labels)
+                grouped = pairs.alias_questions(lazy).select("evidence_candidate_entity_ids").unionByName(pairs.truncated_groups(rows, plan).select("evidence_candidate_entity_ids"))
+                two = grouped.select(F.array_distinct("evidence_candidate_entity_ids").alias("e")).where(F.size("e") == 2).select(F.get("e", F.lit(0)).alias("left"), F.get("e", F.lit(1)).alias("right"))
+                emitted = pairs.asked_pairs(asked, rows, plan).unionByName(two)
+                document["identity_quality"] = identity_quality(asked, lazy.assignments, emitted, labels)
             jsonl.write_json(os.path.join(staging, "quality_report.json"), document)
         jsonl.publish(staging, settings.output_dir, [*counts, "quality_report.json"])
     finally:

@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests, one machine) a temporary one is set."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset and all runs on one machine a temporary one is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="idloom-"))
         current = context.getCheckpointDir()
     return current.rstrip("/")
@@ -42,7 +44,11 @@ def materialize(df: DataFrame, name: str, keep: bool = True) -> tuple[DataFrame,
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/idloom-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     if keep:
         atexit.register(_drop_at_exit, spark, path)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    except Exception:
+        _drop_at_exit(spark, path)
+        raise
     return spark.read.schema(df.schema).parquet(path), path
