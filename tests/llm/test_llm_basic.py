@@ -83,6 +83,13 @@ def planted(rng, n, d, cosine):
     return x, cosine * x + np.sqrt(1 - cosine**2) * r
 
 
+@pytest.mark.parametrize("dim", [2, 3, 5, 16, 256, 512])
+def test_embedding_recall_by_dimension(dim):
+    x, y = planted(np.random.default_rng(dim), 1000, dim, 0.93)
+    a, b = embeddings.buckets(x), embeddings.buckets(y)
+    assert (a[:, :, None] == b[:, None, :]).any(axis=(1, 2)).mean() > 0.97
+
+
 def test_embedding_recall_at_the_threshold():
     x, y = planted(np.random.default_rng(1), 2000, 64, 0.93)
     a, b = embeddings.buckets(x), embeddings.buckets(y)
