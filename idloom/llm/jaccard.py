@@ -41,6 +41,8 @@ SLACK = 1e-9
 #: Keys of the texts to be compared up to which they are broadcast.
 BROADCAST_ROWS = 1_000_000
 PAIRS = ["a", "b", "n", "least", "near"]
+#: Columns of a set's sketch: 256 bits, each the parity of how many of its shingles fall on it.
+SKETCH = ["s0", "s1", "s2", "s3"]
 
 Sets = Callable[[DataFrame], DataFrame]
 
@@ -58,6 +60,12 @@ def common_shingles(docs: DataFrame, sets_of: Sets) -> np.ndarray:
     return found.column("hash").to_numpy()[::-1].copy()
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """The sketch of one set of distinct shingle hashes: two sets' sketches differ in no more bits than the sets in shingles."""
+    odd = np.bincount(own & (64 * len(SKETCH) - 1), minlength=64 * len(SKETCH)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 class Prefix:
     """Cuts sets of shingle hashes to the part that must hold one of any similar set's; ``common`` hashes come last."""
 
@@ -123,6 +131,13 @@ def _placed(table: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -
     return most * (1 + threshold) >= threshold * (size_i + size_j) - SLACK
 
 
+def _unlike(table: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of rows (hash, at, set, label, own, sketch) differ in more shingles than similar sets of their sizes may."""
+    sketches = table[5:].view(np.uint64)  # of signed numbers, numpy counts the bits of the absolute value
+    differ = np.bitwise_count(sketches[:, i] ^ sketches[:, j]).sum(axis=0, dtype=np.int64)
+    return differ > (1 - threshold) / (1 + threshold) * ((table[1, i] >> 32) + (table[1, j] >> 32)) + 1e-6
+
+
 def _batch(a: np.ndarray, b: np.ndarray, least: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
     """Pairs with how often each comes, the least number of times that it must, and whether places ever allow it."""
     low, high = np.minimum(a, b), np.maximum(a, b)
@@ -215,13 +230,14 @@ def _first_round(entries: DataFrame, threshold: float) -> DataFrame:
 
 
 def _across(wide: DataFrame, threshold: float, partners: int | None) -> DataFrame:
-    """(a, b) of rows (hash, at, set, label) that share a shingle, lie in two components and may be similar.
+    """(a, b) of rows (hash, at, set, label, sketch) that share a shingle, lie in two components and may be similar.
 
-    With ``partners`` only rows outside of a group's largest component are looked at, with so many others each.
+    Sizes, places and sketches rule out, before a pair is made, all that can't be. With ``partners`` only rows outside of a group's largest component are looked at, with so many others each.
     """
     apart = wide.groupBy("hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("hash")
     dealt = deal(wide.join(apart, "hash", "left_semi"), ["hash"], ["set"], CELL)
-    cells = dealt.select(F.xxhash64("hash", "cell_i", "cell_j").alias("cell"), "at", "set", "label", F.when(F.col("cell_i") == F.col("cell_j"), -1).otherwise(F.col("own")).cast("long").alias("own"))
+    own_part = F.when(F.col("cell_i") == F.col("cell_j"), -1).otherwise(F.col("own")).cast("long").alias("own")
+    cells = dealt.select(F.xxhash64("hash", "cell_i", "cell_j").alias("cell"), "at", "set", "label", own_part, *SKETCH)
 
     def sampled(own: np.ndarray) -> Iterator[pa.RecordBatch]:
         labels, counts = np.unique(own[3], return_counts=True)
@@ -230,6 +246,7 @@ def _across(wide: DataFrame, threshold: float, partners: int | None) -> DataFram
             j = np.flatnonzero((own[3] != own[3, i]) & ((own[4, i] < 0) | (own[4] != own[4, i])))
             low, high = np.minimum(i, j), np.maximum(i, j)
             go = np.flatnonzero(_sized(own, low, high, threshold) & _placed(own, low, high, threshold))
+            go = go[~_unlike(own, low[go], high[go], threshold)]
             if len(go):  # spread over the group, from a place that differs by shingle
                 at = go[(int(own[0, i]) % len(go) + np.arange(min(partners, len(go))) * max(1, len(go) // partners)) % len(go)]
                 out.append((own[2, low[at]], own[2, high[at]]))
@@ -253,9 +270,10 @@ def _across(wide: DataFrame, threshold: float, partners: int | None) -> DataFram
                     j = np.arange(i + 1, ends[i])
                     j = j[(own[3, j] != own[3, i]) & ((own[4, i] < 0) | (own[4, j] != own[4, i]))]
                     k = np.full(len(j), i)
-                    go = _sized(own, k, j, threshold) & _placed(own, k, j, threshold)
-                    if go.any():
-                        out.append((own[2, k[go]], own[2, j[go]]))
+                    j = j[_sized(own, k, j, threshold) & _placed(own, k, j, threshold)]
+                    j = j[~_unlike(own, np.full(len(j), i), j, threshold)]
+                    if len(j):
+                        out.append((own[2, np.full(len(j), i)], own[2, j]))
                         waiting += len(out[-1][0])
                     if waiting > 100_000:
                         yield _pairs(out)
@@ -267,7 +285,7 @@ def _across(wide: DataFrame, threshold: float, partners: int | None) -> DataFram
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(np.stack([_column(batch, c) for c in ("cell", "at", "set", "label", "own")]))
+            held.append(np.stack([_column(batch, c) for c in ("cell", "at", "set", "label", "own", *SKETCH)]))
             if held[-1][0, -1] != held[0][0, 0]:
                 table = np.concatenate(held, axis=1)
                 cut = int(np.searchsorted(table[0], table[0, -1]))
@@ -305,11 +323,11 @@ def similar(docs: DataFrame, signed: DataFrame, sets_of: Sets, threshold: float)
     """(a, b): links that join the same sets as all pairs of similarity ``threshold`` or more do.
 
     ``signed`` is a written table with, for each text, its hash ``key``, a ``set`` that is equal for equal sets, the
-    set's ``size`` and its ``prefix`` (see :class:`Prefix`). ``sets_of`` gives for rows of ``docs`` (key, text) the set
+    set's ``size``, its ``prefix`` (see :class:`Prefix`) and its sketch in the columns ``SKETCH``. ``sets_of`` gives for rows of ``docs`` (key, text) the set
     and ``hashes``, the distinct shingles' 64-bit hashes, ascending. These would fill the disk and are made
     anew where they are compared. Sets without shingles have no links.
     """
-    known, _ = materialize(signed.where("size > 0").groupBy("set").agg(F.min("key").alias("key")), "sets")
+    known, _ = materialize(signed.where("size > 0").groupBy("set").agg(F.min("key").alias("key"), *[F.min(c).alias(c) for c in SKETCH]), "sets")
     found, _ = materialize(_first_round(_entries(signed), threshold), "candidates")
     counted = found.where("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("near").alias("near"))
     pairs, _ = materialize(counted.where("n >= least and near").select("a", "b"), "pairs")
@@ -317,9 +335,10 @@ def similar(docs: DataFrame, signed: DataFrame, sets_of: Sets, threshold: float)
     wide = found.where("b is null").select(F.col("n").alias("hash"), F.col("least").alias("at"), F.col("a").alias("set"))
     if wide.isEmpty():
         return links
+    sketched = wide.join(known.drop("key"), "set")
     for partners in (PARTNERS, None):
         component = connected_components(links, "a", "b").select(F.col("node").alias("set"), F.col("component").alias("label"))
-        labelled, _ = materialize(wide.join(component, "set", "left").withColumn("label", F.coalesce("label", "set")), "labelled")
+        labelled, _ = materialize(sketched.join(component, "set", "left").withColumn("label", F.coalesce("label", "set")), "labelled")
         more, _ = materialize(_across(labelled, threshold, partners), "pairs")
         if not more.isEmpty():
             found, _ = materialize(_verified(more, docs, known, sets_of, threshold), "similar")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from idloom.llm.batches import runs
 from idloom.llm.cells import deal
-from idloom.llm.jaccard import BROADCAST_ROWS, Prefix, common_shingles, similar
+from idloom.llm.jaccard import BROADCAST_ROWS, SKETCH, Prefix, common_shingles, similar, sketch
 from idloom.plans.components import connected_components
 from idloom.plans.storage import materialize
 
@@ -112,11 +112,11 @@ def _set_keys(sets: list[bytes]) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, shingle: int, prefix: Prefix) -> DataFrame:
-    """doc_id, key, fingerprint, and the shingles' ``set``, ``size`` and ``prefix`` of rows (doc_id, key, text)."""
+    """doc_id, key, fingerprint, and the shingles' ``set``, ``size``, ``prefix`` and sketch of rows (doc_id, key, text)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in runs(batches):
-            voted, sets, sizes, cut = [], [], [], []
+            voted, sets, sizes, cut, sketches = [], [], [], [], []
             for text in texts:
                 hashes = shingle_hashes(text, shingle)
                 own = _distinct(hashes)
@@ -124,10 +124,13 @@ def signatures(docs: DataFrame, shingle: int, prefix: Prefix) -> DataFrame:
                 sets.append(own.tobytes())
                 sizes.append(len(own))
                 cut.append(prefix(own).tobytes() if len(own) else b"")
+                sketches.append(sketch(own))
             found = [pa.array(np.array(voted, dtype=np.uint64).view(np.int64)), pa.array(_set_keys(sets)), pa.array(sizes, pa.int64()), pa.array(cut, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *found], names=["doc_id", "key", "fingerprint", "set", "size", "prefix"])
+            found += [pa.array(x) for x in np.stack(sketches, axis=1)] if sketches else [pa.array([], pa.int64())] * len(SKETCH)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *found], names=["doc_id", "key", "fingerprint", "set", "size", "prefix", *SKETCH])
 
-    return docs.select("doc_id", "key", "text").mapInArrow(hashed, "doc_id long, key long, fingerprint long, set long, size long, prefix binary")
+    columns = ", ".join(f"{c} long" for c in SKETCH)
+    return docs.select("doc_id", "key", "text").mapInArrow(hashed, f"doc_id long, key long, fingerprint long, set long, size long, prefix binary, {columns}")
 
 
 def similar_links(docs: DataFrame, signed: DataFrame, shingle: int, similarity: float) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -38,3 +39,22 @@ def test_near_dedup_stage_equals_brute_force(spark, monkeypatch, wide):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, SMALL).collect())
     assert got == sorted({*want.values()}) and len(got) < len({*by_bits.values()})
+
+
+def test_sketches_rule_out_no_similar_pair():
+    """Pairs of similarity 0.8 or more all pass, pairs far below it mostly don't; hashes take both signs."""
+    rng = np.random.default_rng(3)
+    passed, ruled_out = 0, 0
+    for size in (1, 2, 5, 9, 40, 150, 900):
+        for _ in range(200):
+            one = np.unique(rng.integers(-(2**63), 2**63, size))
+            edits = int(rng.integers(0, size // 2 + 1))
+            two = np.unique(np.r_[one[edits:], rng.integers(-(2**63), 2**63, edits)])
+            columns = [np.r_[0, len(x) << 32, 0, 0, -1, jaccard.sketch(x)] for x in (one, two)]
+            out = jaccard._unlike(np.stack(columns, axis=1).astype(np.int64), np.array([0]), np.array([1]), 0.8)[0]
+            common = len(np.intersect1d(one, two))
+            similarity = common / (len(one) + len(two) - common)
+            assert not (out and similarity >= 0.8)
+            passed += similarity >= 0.8
+            ruled_out += bool(out)
+    assert passed > 300 and ruled_out > 300
