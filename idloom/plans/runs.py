@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
-import os
 import resource
-import shutil
 import time
 from contextlib import contextmanager
 
@@ -19,7 +17,7 @@ from idloom.operators.project import Projection, consolidation, project, rejecte
 from idloom.operators.resolve import Resolution, block_keys, resolution_stats, resolve
 from idloom.plans.storage import materialize
 from idloom.policy import Settings
-from idloom.sources import integrity, jsonl, tables
+from idloom.sources import files, integrity, jsonl, tables
 
 STAGING = ".staging"
 
@@ -166,9 +164,9 @@ def run(spark: SparkSession, settings: Settings, labels: str | None = None) -> d
         violations |= _violations(invariants.edge_invariants(projected.edges, projected.assignments, lazy.entities))
     rows = pairs.members(lazy)
     plan = _kept(pairs.budget_plan(pairs.pair_counts(rows), policy.possible_duplicate_pair_budget), "plan")
-    staging = os.path.join(settings.output_dir, STAGING)
-    shutil.rmtree(staging, ignore_errors=True)
-    os.makedirs(staging)
+    staging = files.join(settings.output_dir, STAGING)
+    files.remove(spark, staging)
+    files.make_folder(spark, staging)
     try:
         with stages.stage("write"):
             duplicates = pairs.possible_duplicates(lazy, policy.possible_duplicate_pair_budget).withColumnsRenamed({"level": "_level", "pair_order": "_pair_order"})
@@ -181,18 +179,18 @@ def run(spark: SparkSession, settings: Settings, labels: str | None = None) -> d
             }
             counts = {name: jsonl.write_sorted(table, order, staging, name, always) for name, (table, order, always) in artifacts.items()}
         with stages.stage("report"):
-            written = {n: {"rows": counts[n], "bytes": os.path.getsize(os.path.join(staging, n)), "sha256": jsonl.sha256_file(os.path.join(staging, n))} for n in counts}
+            written = {n: {"rows": counts[n], "bytes": files.size(spark, files.join(staging, n)), "sha256": files.sha256(spark, files.join(staging, n))} for n in counts}
             document = build_report(settings, inputs, lazy, projected, plan, rows, written, violations, stages)
-            if labels and os.path.isfile(labels):
+            if labels and files.is_file(spark, labels):
                 asked = jsonl.read(spark, labels, jsonl.SCHEMAS["public_labeled_pairs.jsonl"]).select(F.col("left_candidate_entity_id").alias("left"), F.col("right_candidate_entity_id").alias("right"), "label")
                 grouped = pairs.alias_questions(lazy).select("evidence_candidate_entity_ids").unionByName(pairs.truncated_groups(rows, plan).select("evidence_candidate_entity_ids"))
                 two = grouped.select(F.array_distinct("evidence_candidate_entity_ids").alias("e")).where(F.size("e") == 2).select(F.get("e", F.lit(0)).alias("left"), F.get("e", F.lit(1)).alias("right"))
                 emitted = pairs.asked_pairs(asked, rows, plan).unionByName(two)
                 document["identity_quality"] = identity_quality(asked, lazy.assignments, emitted, labels)
-            jsonl.write_json(os.path.join(staging, "quality_report.json"), document)
-        jsonl.publish(staging, settings.output_dir, [*counts, "quality_report.json"])
+            jsonl.write_json(spark, files.join(staging, "quality_report.json"), document)
+        jsonl.publish(spark, staging, settings.output_dir, [*counts, "quality_report.json"])
     finally:
-        shutil.rmtree(staging, ignore_errors=True)
+        files.remove(spark, staging)
     return {"counts": counts, "violations": violations, "sha256": {n: w["sha256"] for n, w in written.items()}, "report": document}
 
 

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-import os
-import shutil
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.sources import integrity
+from idloom.sources import files, integrity
 from idloom.sources.tables import Inputs
 
 FILES = ("candidate_entities.jsonl", "candidate_facts.jsonl", "source_ledger.jsonl", "extraction_artifacts.jsonl")
@@ -62,13 +58,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def missing_files(spark: SparkSession, folder: str, names: tuple[str, ...] = FILES) -> list[str]:
     """Which files a folder lacks, in any file system that Spark knows."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def absent(name: str) -> bool:
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}")
-        return not path.getFileSystem(conf).exists(path)
-
-    return [n for n in names if absent(n)]
+    return [n for n in names if not files.exists(spark, files.join(folder, n))]
 
 
 def load_package(spark: SparkSession, folder: str, check: bool = True) -> Inputs:
@@ -115,32 +105,21 @@ def canonical_json(rows: DataFrame, always: tuple[str, ...] = ()) -> DataFrame:
 
 
 def write_sorted(rows: DataFrame, order: list[str], folder: str, name: str, always: tuple[str, ...] = (), single: bool = True) -> int:
-    """Write ``rows`` as sorted JSON Lines: one file ``name`` (for a shared local folder), or a folder of range parts.
+    """Write ``rows`` as sorted JSON Lines: one file ``name``, or a folder of range parts, in any file system that Spark knows.
 
-    Columns whose names begin with an underscore order the rows and aren't written. Returns the number of rows. The order is total, so the bytes don't depend on how rows came in.
+    One file is put together from the range parts by the driver's JVM, which holds a block of it at a time. Columns whose names begin with an underscore order the rows and aren't written. Returns the number of rows. The order is total, so the bytes don't depend on how rows came in.
     """
+    spark = rows.sparkSession
     shown = [c for c in rows.columns if not c.startswith("_")]
     lines = canonical_json(rows.orderBy(*order).select(*shown), always)
-    target = f"{folder.rstrip('/')}/{name}"
-    lines.write.mode("overwrite").text(target + ".parts")
+    target = files.join(folder, name)
+    parts = target + ".parts" if single else target
+    lines.write.mode("overwrite").text(parts)
+    written = spark.read.text(parts).count()
     if single:
-        parts = sorted(Path(target + ".parts").glob("part-*"))
-        with open(target, "wb") as out:
-            for part in parts:
-                with open(part, "rb") as source:
-                    shutil.copyfileobj(source, out, 1 << 20)
-        shutil.rmtree(target + ".parts")
-        with open(target, "rb") as written:
-            return sum(block.count(b"\n") for block in iter(lambda: written.read(1 << 20), b""))
-    return rows.count()
-
-
-def sha256_file(path: str | Path) -> str:
-    digest = hashlib.sha256()
-    with open(path, "rb") as source:
-        for block in iter(lambda: source.read(1 << 20), b""):
-            digest.update(block)
-    return digest.hexdigest()
+        files.append_parts(spark, parts, target)
+        files.remove(spark, parts)
+    return written
 
 
 def table_digest(rows: DataFrame) -> DataFrame:
@@ -149,12 +128,12 @@ def table_digest(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("rows"), F.sum(hashed.cast("decimal(38,0)")).cast("string").alias("digest"))
 
 
-def publish(staging: str, target: str, names: list[str]) -> None:
+def publish(spark: SparkSession, staging: str, target: str, names: list[str]) -> None:
     """Move finished files into place, each at once."""
-    os.makedirs(target, exist_ok=True)
+    files.make_folder(spark, target)
     for name in names:
-        os.replace(os.path.join(staging, name), os.path.join(target, name))
+        files.replace(spark, files.join(staging, name), files.join(target, name))
 
 
-def write_json(path: str | Path, document: dict) -> None:
-    Path(path).write_text(json.dumps(document, indent=2, sort_keys=True, ensure_ascii=False) + "\n", encoding="utf-8")
+def write_json(spark: SparkSession, path: str, document: dict) -> None:
+    files.write_text(spark, path, json.dumps(document, indent=2, sort_keys=True, ensure_ascii=False) + "\n")
