@@ -1,16 +1,17 @@
 """Chat formatting by incremental black-box rendering.
 
 A template is any function from (role, text) messages to a string. Nothing is assumed about how it works: the turns'
-places come from rendering successive prefixes of a conversation and comparing consecutive outputs. What the new
-output adds is the turn's span; where it doesn't begin with the old output, the template rewrites history, which is
-reported with the first turn concerned. The place of the text inside a span comes from renderings that differ in that
-text alone. Conversations up to ``FULL`` turns are rendered from their start. Beyond that the prefixes start from the
-first turn and the last ``WINDOW`` to ``2 * WINDOW`` turns; whenever the window moves on, the last turn is rendered in
-both windows and a template whose output depends on the turns that were left is reported as ``context_dependent``.
-Whenever a conversation has doubled, and at its end, it is rendered from its start too: that output must begin with the
-one before of this kind, else history is rewritten, and must be what the spans make up, else the template depends on
-turns that were left. ``verified`` is how many turns such a rendering has confirmed or refuted; later ones are not
-verified yet. Time for a turn is bounded on average; a conversation's messages and its output are held in memory.
+places come from rendering every prefix of a conversation from its first turn and comparing consecutive outputs. What the
+new output adds is the turn's span; where it doesn't begin with the old output, the template rewrites history, which is
+reported with the first turn concerned. The place of the text inside a span comes from renderings of the same prefix that
+differ in that text alone. No prefix is left out however long a conversation gets, so time is quadratic in its turns, and
+its messages and output are held in memory.
+
+Two things more are told of each turn. Beyond ``FULL`` turns it is rendered after the first turn and the ``WINDOW`` turns
+before it as well; where that adds something else, the template is reported as ``context_dependent``. And the spans that
+were given out are put together and compared with a new rendering, up to ``FULL`` turns with each one, then whenever the
+conversation has doubled and at its end; ``verified`` is up to which turn that has been done. A difference there without
+rewritten history is that of a template which is no function of its messages; it is reported as ``context_dependent`` too.
 
 Rows stream through in order of (conv_id, turn), a turn a row; nothing gathers a conversation. Rows that tie are
 ordered by role and text. Null roles and texts count as empty. Rows with a null conv_id form one conversation. Repeated
@@ -19,6 +20,7 @@ rows are turns of their own. An empty table gives an empty result. Other columns
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -50,9 +52,18 @@ def unescape(text: str) -> str:
     return _escaped.sub(r"\1", text) if "\\" in text else text
 
 
+def _marked(role: str, text: str) -> str:
+    return f"{TURN}{escape(role).replace(chr(10), chr(92) + chr(10))}\n{escape(text)}{END}\n"
+
+
+#: A conversation's short turns are rendered again for each of its prefixes; so many are remembered.
+_remembered = functools.lru_cache(65_536)(_marked)
+SHORT = 1_000
+
+
 def render(messages: list[tuple[str, str]]) -> str:
     """The template: marks around each turn, the role on a line of its own."""
-    return BEGIN + "".join(f"{TURN}{escape(role).replace(chr(10), chr(92) + chr(10))}\n{escape(text)}{END}\n" for role, text in messages)
+    return BEGIN + "".join([_remembered(role, text) if len(role) + len(text) <= SHORT else _marked(role, text) for role, text in messages])
 
 
 _turn = re.compile(rf"{re.escape(TURN)}((?:[^\\\n]|\\.)*)\n(.*?){re.escape(END)}\n", re.DOTALL)
@@ -88,23 +99,21 @@ class Locator:
         self.output = template([])
         self.length = len(self.output)
         self.turns = 0
-        self.sliding = False
         self.rewrites = self.dependent = False
-        self.history: list[tuple[str, str]] = []
         self.assembled = hashlib.sha256()
-        self.before = hashlib.sha256().digest(), 0
-        self.verified, self.due = 0, FULL
+        self.verified, self.due = 0, 1
 
-    def _added(self, before: str, after: str) -> str:
-        at = _common(before, after)
-        self.rewrites |= at < len(before)
+    def _added(self, after: str) -> str:
+        """What an output adds to the last one; it need not begin with it."""
+        at = _common(self.output, after)
+        self.rewrites |= at < len(self.output)
         return after[at:]
 
     def add(self, role: str, text: str) -> tuple[str, int, int, int]:
         """Take in the next turn: its span's string, the span's start, and where its text begins and ends in the whole."""
         opening = self.output if not self.turns else ""
-        span = self._added(self.output, whole := self.template([*self.messages, (role, text)]))
-        ends = [self._added(self.output, self.template([*self.messages, (role, probe)])) for probe in ("a", "b")]
+        span = self._added(whole := self.template([*self.messages, (role, text)]))
+        ends = [self._added(self.template([*self.messages, (role, probe)])) for probe in ("a", "b")]
         head = _common(*ends)
         tail = _common(ends[0][::-1], ends[1][::-1])
         start = self.length - len(opening)
@@ -112,29 +121,20 @@ class Locator:
         self.messages.append((role, text))
         self.output, self.length = whole, self.length + len(span)
         self.turns += 1
-        self.history.append((role, text))
         self.assembled.update(_bytes(opening + span))
-        if not self.sliding:
-            self.verified = self.turns  # each prefix so far was rendered from its start
-        if self.turns == self.due:
-            self.due *= 2
+        if self.turns > FULL:
+            kept = [self.messages[0], *self.messages[-WINDOW - 1 :]]
+            before, after = self.template(kept[:-1]), self.template(kept)
+            self.dependent |= after[_common(before, after) :] != span
+        if self.turns >= self.due:
+            self.due = self.turns + 1 if self.turns < FULL else 2 * self.turns
             self.verify()
-        if len(self.messages) >= (2 * WINDOW if self.sliding else FULL):
-            self.sliding = True
-            kept = [self.messages[0], *self.messages[-WINDOW:]]
-            before = self.template(kept[:-1])
-            self.output = self.template(kept)
-            self.dependent |= self._added(before, self.output) != span
-            self.messages = kept
         return opening + span, start, begin, end
 
     def verify(self) -> None:
-        """Compare the conversation's output from its start with the last one of this kind and with the spans."""
-        whole = self.template(self.history)
-        digest, length = self.before
-        self.rewrites |= hashlib.sha256(_bytes(whole[:length])).digest() != digest
-        self.before = hashlib.sha256(_bytes(whole)).digest(), len(whole)
-        self.dependent |= self.sliding and self.before[0] != self.assembled.digest()
+        """Compare the spans, put together, with a new rendering of the conversation."""
+        same = hashlib.sha256(_bytes(self.template(self.messages))).digest() == self.assembled.digest()
+        self.dependent |= not same and not self.rewrites
         self.verified = self.turns
 
 
@@ -145,9 +145,9 @@ def format_turns(conversations: DataFrame, template: Render = render) -> DataFra
     """A row for each turn, in order of (conv_id, turn) inside each partition.
 
     ``span`` is what the turn adds to its conversation's output (the first also has what stands before all turns);
-    start, text_start and text_end are places in that output, in code points. The flags hold for the turns so far,
-    of which the first ``verified`` have been checked by renderings from the conversation's start; the last row's hold
-    for all.
+    start, text_start and text_end are places in that output, in code points. The flags hold for the turns so far, whose
+    prefixes have all been rendered; the spans of the first ``verified`` have also been compared with a new rendering.
+    The last row's hold for all.
     """
     rows = conversations.select(
         F.col("conv_id").cast("long"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
