@@ -3,6 +3,7 @@
 import pytest
 
 from idloom.operators import pairs
+from idloom.plans import catalogue
 
 GROUP = "org_id string, workspace_id string, name_key string"
 
@@ -34,3 +35,11 @@ def test_members_are_not_multiplied_where_groups_are_small(rows, monkeypatch):
     monkeypatch.setattr(pairs, "BROADCAST_MEMBERS", 0)
     plan = pairs.unresolved_pairs(rows, pairs.pair_counts(rows))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [org_id" in plan and "left_block" in plan and "salt" not in plan
+
+
+def test_possible_duplicates_puts_no_entity_together(spark, monkeypatch):
+    """Entities and assignments of all occurrences were written for it, though only members and links are read."""
+    written, put = [], catalogue.materialize
+    monkeypatch.setattr(catalogue, "materialize", lambda df, name, keep=True: (written.append(name), put(df, name, keep))[1])
+    catalogue.QUERIES["possible_duplicates"](spark, "/root/testdata/sf0.001")
+    assert written == ["scoped", "links", "members"]
