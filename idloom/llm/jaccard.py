@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from idloom.llm.batches import give_back
 from idloom.llm.cells import deal
 from idloom.plans.components import connected_components
 from idloom.plans.storage import materialize
@@ -223,6 +224,8 @@ def _first_round(entries: DataFrame, threshold: float) -> DataFrame:
                 table = table[:, cut:]
             if table.shape[1]:
                 yield from done(table, False)
+        held = table = None
+        give_back()
 
     # By size and set, so that neighbours in the groups of many shingles are the same pairs.
     ordered = entries.repartition("hash").sortWithinPartitions("hash", F.shiftright("at", 32), "set")
@@ -293,6 +296,8 @@ def _across(wide: DataFrame, threshold: float, partners: int | None) -> DataFram
                 held = [table[:, cut:]]
         if held:
             yield from done(np.concatenate(held, axis=1))
+        held = table = None
+        give_back()
 
     return cells.repartition("cell").sortWithinPartitions("cell", "at", "set").mapInArrow(paired, "a long, b long").distinct()
 

@@ -31,8 +31,8 @@ from idloom.plans.storage import materialize
 CAPACITY = 4096
 END_ID = 1
 #: Chunks and words that a Python worker remembers with their ids. Chunks are quickly put together again.
-CACHE_CHUNKS = 300_000
-CACHE_WORDS = 700_000
+CACHE_CHUNKS = 100_000
+CACHE_WORDS = 200_000
 #: Counts are kept for each (salt, length); this bounds what the driver reads to SALTS * CAPACITY small rows.
 SALTS = 64
 

@@ -119,3 +119,15 @@ def test_run_on_a_folder_of_awkward_rows(spark, tmp_path):
     spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} == {1, 3, 4, 6, 7, 8}
+
+
+def test_tokenizer_workers_stay_small():
+    """Two workers stand beside an executor's heap; what they remember is bounded."""
+    from idloom.llm import packing
+    from idloom.llm.queries import tokenizer_path
+
+    code, most = packing.WordEncoder(tokenizer_path("word_bpe_49k.json")), 0
+    for i in range(0, 250_000, 1_000):
+        code.encode([" ".join("".join(chr(97 + j // 26**k % 26) for k in range(5)) for j in range(i, i + 1_000))])
+        most = max(most, len(code) + len(code.known))
+    assert most <= 302_000
